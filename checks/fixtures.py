@@ -127,9 +127,9 @@ def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .distinct()
     )
-    more = spark.createDataFrame(
-        [("ANY RING", "ring", "Top 58", None), ("OLD LINE", "old g", "Competitor", None)],
-        parts.schema,
+    more = spark.sql(
+        "SELECT * FROM VALUES ('ANY RING', 'ring', 'Top 58', CAST(NULL AS DOUBLE)), "
+        "('OLD LINE', 'old g', 'Competitor', NULL) AS t(SKUName, ProductName, Status, Multiplier)"
     )
     return parts.unionByName(more)
 
@@ -151,7 +151,9 @@ def sku_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.upper("p_name").alias("SKU NAME"))
         .agg(F.min("p_retailprice").alias("pr"))
     )
-    more = spark.createDataFrame([("ANY RING", 900.0), ("GHOST SKU", 1.0)], parts.schema)
+    more = spark.sql(
+        "SELECT * FROM VALUES ('ANY RING', 900D), ('GHOST SKU', 1D) AS t(`SKU NAME`, pr)"
+    )
     return parts.unionByName(more)
 
 

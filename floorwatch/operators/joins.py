@@ -20,14 +20,18 @@ HOT_PARTS = 200
 SALTS = 64
 
 
+def width(df: DataFrame) -> Column:
+    """Bytes of a row, by its columns' types and the length of its texts."""
+    total = F.lit(16 * len(df.columns) + 16)
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.StringType):
+            total = total + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+    return total
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Rows times width, from one aggregate over the dimension."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    fixed = 16 * len(df.columns) + 16
-    width = F.lit(fixed)
-    for name in text:
-        width = width + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
-    return df.agg(F.sum(width.cast("bigint")).alias("n")).first()["n"] or 0
+    return df.agg(F.sum(width(df).cast("bigint")).alias("n")).first()["n"] or 0
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

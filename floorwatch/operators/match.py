@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from floorwatch.functions.text import pack_hint, pack_size, plain
-from floorwatch.operators.joins import dim_join
+from floorwatch.operators.joins import BROADCAST_BYTES, dim_join, width
 
 GRAM = 6
 
@@ -55,7 +55,8 @@ def contains_pairs(
     names: DataFrame,
     mapping: DataFrame,
     gram: int = GRAM,
-    limit: int | None = None,
+    limit: int = BROADCAST_BYTES,
+    keep_unmatched: bool = False,
 ) -> DataFrame:
     """All (name, mapping row) pairs where the name contains the mapped name.
 
@@ -63,7 +64,8 @@ def contains_pairs(
     match nothing. Each mapped name is looked up by one of its character
     grams, the one that the fewest mapped names share, so the join is an
     equality join and only few pairs reach the `contains` test. Mapped names
-    shorter than ``gram`` are looked up as a whole.
+    shorter than ``gram`` are looked up as a whole. ``keep_unmatched`` adds
+    one row of NULLs to every name, without reading the names a second time.
     """
     dim = (
         mapping_columns(mapping)
@@ -71,10 +73,15 @@ def contains_pairs(
         .filter(F.length("pattern") > 0)
     )
     sized = dim.withColumn("size", F.least(F.length("pattern"), F.lit(gram)))
-    # At most `gram` numbers come to the driver.
-    sizes = sorted(r["size"] for r in sized.select("size").distinct().collect())
+    # One job over the mapping: its bytes, its gram added, and the gram sizes (at most `gram`).
+    seen = sized.agg(
+        F.sum((width(sized) + 16 + 4 * gram).cast("bigint")).alias("bytes"),
+        F.collect_set("size").alias("sizes"),
+    ).first()
+    sizes = sorted(seen["sizes"])
     if not sizes:
-        return names.join(dim, F.lit(False), "inner")
+        kept = names if keep_unmatched else names.filter(F.lit(False))
+        return kept.select("*", *[F.lit(None).cast(t).alias(c) for c, t in dim.dtypes])
 
     pattern_grams = sized.select("pattern", "size").distinct().withColumn(
         "gram",
@@ -94,11 +101,19 @@ def contains_pairs(
     )
     anchored = dim.join(anchors, F.col("pattern") == F.col("_pattern")).drop("_pattern")
 
-    all_grams = f"concat({', '.join(_grams('plain_name', s) for s in sizes)})"
+    gram_lists = [_grams("plain_name", s) for s in sizes]
+    if keep_unmatched:
+        # The empty gram leads every name to one entry without a SKU.
+        gram_lists.append("array('')")
+        nothing = [
+            F.lit("").alias(c) if c in ("pattern", "gram") else F.lit(None).cast(t).alias(c)
+            for c, t in anchored.dtypes
+        ]
+        anchored = anchored.unionByName(names.sparkSession.range(1).select(*nothing))
+    all_grams = f"concat({', '.join(gram_lists)})"
     name_grams = names.withColumn("plain_name", plain(F.col("name"))).withColumn(
         "name_gram", F.explode(F.expr(f"array_distinct({all_grams})"))
     )
-    sizing = {} if limit is None else {"limit": limit}
     return dim_join(
         name_grams,
         anchored,
@@ -106,7 +121,7 @@ def contains_pairs(
         how="inner",
         also=F.col("plain_name").contains(F.col("pattern")),
         spread=F.xxhash64("name"),
-        **sizing,
+        fits=seen["bytes"] <= limit,
     ).drop("plain_name", "name_gram")
 
 
@@ -119,19 +134,18 @@ def best_match(names: DataFrame, mapping: DataFrame, gram: int = GRAM) -> DataFr
     multiplier = ["Multiplier"] if "Multiplier" in mapping.columns else []
     rank = Window.partitionBy("name").orderBy(
         F.when(plain(F.col("name")) == F.col("pattern"), 0).otherwise(1),
-        F.length(F.trim("mappedName")).desc(),
+        F.length(F.trim("mappedName")).desc_nulls_last(),
         "SKUName",
         "mappedName",
         "Status",
         *multiplier,
     )
-    best = (
-        contains_pairs(names, mapping, gram)
+    return (
+        contains_pairs(names, mapping, gram, keep_unmatched=True)
         .withColumn("_rank", F.row_number().over(rank))
         .filter("_rank = 1")
-        .drop("_rank", "pattern")
+        .drop("_rank", "pattern", "size")
     )
-    return names.join(best, "name", "left")
 
 
 def with_pack_columns(matches: DataFrame, name_col: str = "name") -> DataFrame:

@@ -19,7 +19,13 @@ from floorwatch.operators.match import (
     match_exact,
     with_pack_columns,
 )
-from floorwatch.operators.packs import below_raw, processed_rows, raw_rows, without_packs
+from floorwatch.operators.packs import (
+    below_raw,
+    price_cap,
+    processed_rows,
+    raw_rows,
+    without_packs,
+)
 from floorwatch.operators.track import final_rows, last_dates, track_columns, union_tracks
 from floorwatch.operators.windows import resolve_windows, windows_frame
 from floorwatch.sources.drift import load_scrapes
@@ -88,6 +94,9 @@ def retailer_rows(
     """
     floor_col = retailer.floor_col
     sku = config.sku_col
+    if config.has_multiplier:
+        # Commutes with everything below; here it reaches the scan.
+        scrapes = price_cap(scrapes, config.price_cap)
     position = None
     if spread is not None:
         # Fixed on the scan, before any shuffle could reorder the rows.
