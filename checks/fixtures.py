@@ -57,6 +57,26 @@ def _rows(df: DataFrame, columns: str) -> DataFrame:
     return df.selectExpr(*[c.strip() for c in columns.split("|")])
 
 
+# --- tables and folders written once ----------------------------------------
+_staged: dict[tuple, str] = {}
+
+
+def _stage(spark: SparkSession, sf_dir: str, kind: str, write) -> str:
+    """A folder written once per session and table set."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _staged:
+        folder = fresh_path(spark, f"scrapes-{kind}")
+        write(folder)
+        _staged[key] = folder
+    return _staged[key]
+
+
+def kept(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
+    """A derived table, written once per session and read from then on, as dimensions are."""
+    path = _stage(spark, sf_dir, kind, lambda folder: build(spark, sf_dir).write.parquet(folder))
+    return spark.read.parquet(path)
+
+
 # --- observations -----------------------------------------------------------
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations with the part name they were made from."""
@@ -114,6 +134,10 @@ def pack_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- dimensions -------------------------------------------------------------
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept(spark, sf_dir, "mapping", _mapping)
+
+
+def _mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = (
         table(spark, sf_dir, "part")
         .filter(~F.col("p_name").startswith("old "))
@@ -135,6 +159,10 @@ def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def combined_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept(spark, sf_dir, "combined", _combined_mapping)
+
+
+def _combined_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mapping of the combined names of single packs."""
     base = sales(spark, sf_dir).filter(~F.col("p_name").startswith("old "))
     return base.select(
@@ -166,6 +194,10 @@ def floor_sheet(spark: SparkSession, sf_dir: str, factor: Column | int) -> DataF
 
 
 def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept(spark, sf_dir, "weekly", _weekly)
+
+
+def _weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     mondays = F.sequence(
         F.lit(FIRST_WEEK_DAY), F.lit(LAST_WEEK_DAY), F.expr("interval 7 days")
     )
@@ -187,8 +219,8 @@ def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def statics(spark: SparkSession, sf_dir: str) -> list[tuple[Period, DataFrame]]:
     return [
-        (PERIODS[0], floor_sheet(spark, sf_dir, 20)),
-        (PERIODS[1], floor_sheet(spark, sf_dir, 22)),
+        (period, kept(spark, sf_dir, period.name, lambda s, d, n=n: floor_sheet(s, d, n)))
+        for period, n in zip(PERIODS, (20, 22))
     ]
 
 
@@ -197,6 +229,10 @@ def floors(spark: SparkSession, sf_dir: str) -> Floors:
 
 
 def rules_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept(spark, sf_dir, "rules", _rules_sheet)
+
+
+def _rules_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manual rules as a sheet has them: text, with blanks, odd case and bad numbers."""
     pairs = sales(spark, sf_dir).select("account", "p_name").distinct()
 
@@ -289,19 +325,6 @@ def event_scrapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_staged: dict[tuple, str] = {}
-
-
-def _stage(spark: SparkSession, sf_dir: str, kind: str, write) -> str:
-    """A folder written once per session and table set."""
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _staged:
-        folder = fresh_path(spark, f"scrapes-{kind}")
-        write(folder)
-        _staged[key] = folder
-    return _staged[key]
-
-
 def _day_file(df: DataFrame) -> DataFrame:
     name = F.concat(F.lit("SHOP1_"), F.date_format("day", "yyMMdd"), F.lit(".parquet"))
     return df.withColumn("file", name).drop("day")

@@ -396,12 +396,12 @@ def distinct_names(spark, sf_dir):
 
 def _best(spark, sf_dir) -> DataFrame:
     names = match.distinct_names(fx.obs(spark, sf_dir))
-    matches = match.best_match(names, fx.mapping(spark, sf_dir))
-    return materialise(match.with_pack_columns(matches), "check-names")
+    return match.with_pack_columns(match.best_match(names, fx.mapping(spark, sf_dir)))
 
 
 def _matched(spark, sf_dir) -> DataFrame:
-    return match.attach_matches(fx.obs(spark, sf_dir), _best(spark, sf_dir))
+    best = fx.kept(spark, sf_dir, "names", _best)
+    return match.attach_matches(fx.obs(spark, sf_dir), best)
 
 
 def _priced(spark, sf_dir) -> DataFrame:
