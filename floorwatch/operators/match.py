@@ -92,9 +92,8 @@ def contains_pairs(
             )
         ),
     )
-    shared = pattern_grams.groupBy("gram").agg(F.count("*").alias("uses"))
     anchors = (
-        pattern_grams.join(shared, "gram")
+        pattern_grams.withColumn("uses", F.count("*").over(Window.partitionBy("gram")))
         .groupBy("pattern")
         .agg(F.min(F.struct("uses", "gram")).alias("best"))
         .select(F.col("pattern").alias("_pattern"), F.col("best.gram").alias("gram"))

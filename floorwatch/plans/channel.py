@@ -252,7 +252,7 @@ def run_channel(
         if scrapes[r.code] is not None
     }
     frame = windows_frame(spark, cleared)
-    store.save(result.track, mode, frame)
+    store.save(result.track, mode, frame, distinct=True)
     if result.raw_track is not None and raw_store is not None:
-        raw_store.save(result.raw_track, mode, frame)
+        raw_store.save(result.raw_track, mode, frame, distinct=True)
     return result

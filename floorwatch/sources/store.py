@@ -115,13 +115,20 @@ class TrackStore:
         )
         self.spark.catalog.recoverPartitions(self.table)
 
-    def save(self, df: DataFrame, mode: str, windows: DataFrame | None = None) -> None:
+    def save(
+        self,
+        df: DataFrame,
+        mode: str,
+        windows: DataFrame | None = None,
+        distinct: bool = False,
+    ) -> None:
+        """``distinct`` says that ``df`` has no repeated rows, so none need removing."""
         if mode == "overwrite":
             self.replace(df)
         elif mode == "append":
             if windows is None or windows.isEmpty():
                 raise ValueError("append needs at least one window")
-            self.merge(df, windows)
+            self.merge(df, windows, distinct)
         else:
             raise ValueError(f"Unknown save mode: {mode}")
 
@@ -138,25 +145,27 @@ class TrackStore:
         self._switch({"version": name, "schema": df.schema.json()})
         return rows
 
-    def merge(self, new: DataFrame, windows: DataFrame) -> None:
+    def merge(self, new: DataFrame, windows: DataFrame, distinct: bool = False) -> None:
         """Replace the windows by ``new``; partitions outside stay as they are, untouched."""
         self.recover()
         now = self._pointer()
+        if not distinct:
+            new = new.dropDuplicates()
         if now is None:
             self.replace(new)
             return
         aside = f"{self.base}/{PENDING}"
         fs, where = file_system(self.spark, aside)
         fs.delete(where, True)
+        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
 
+        schema = merged_schema(_schema_of(now), new.schema)
         incoming_path = f"{self.base}/_incoming-{uuid4().hex}"
         arrange(new).write.partitionBy(*PARTITIONS).parquet(incoming_path)
-        incoming = read_partitioned(self.spark, incoming_path, new.schema)
         current = f"{self.base}/{now['version']}"
-        existing = read_partitioned(self.spark, current, _schema_of(now))
+        touched = touched_in(self.spark, incoming_path)
         stored = stored_partitions(self.spark, current)
-        touched = stored_partitions(self.spark, incoming_path).select(*PARTITIONS)
-        outside = clear_windows(stored, windows)
+        outside = clear_windows(stored, windows).cache()
 
         # Old rows matter only where new rows arrive outside every window.
         both = outside.join(touched, list(PARTITIONS), "left_semi").select(*PARTITIONS)
@@ -165,22 +174,28 @@ class TrackStore:
             (F.col("account") == s["account"]) & F.col("date").between(s["lo"], s["hi"])
             for s in spans.collect()  # one row per account
         ]
-        kept = existing.filter(reduce(lambda a, b: a | b, reach, F.lit(False)))
-        kept = dim_join(kept, both, [(c, c) for c in PARTITIONS], how="left_semi")
-        state = kept.unionByName(incoming, allowMissingColumns=True).dropDuplicates()
-        arrange(state).write.partitionBy(*PARTITIONS).parquet(aside)
+        if reach:
+            existing = read_partitioned(self.spark, current, schema)
+            incoming = read_partitioned(self.spark, incoming_path, schema)
+            kept = existing.filter(reduce(lambda a, b: a | b, reach))
+            kept = dim_join(kept, both, [(c, c) for c in PARTITIONS], how="left_semi")
+            state = kept.unionByName(incoming).dropDuplicates()
+            arrange(state).write.partitionBy(*PARTITIONS).parquet(aside)
+            fs.delete(path_of(incoming_path), True)
+        elif not fs.rename(path_of(incoming_path), where):
+            raise OSError(f"Cannot put {aside} in place")
 
         gone = stored.join(outside, "folder", "left_anti").join(
-            touched, list(PARTITIONS), "left_anti"
+            touched_in(self.spark, aside), list(PARTITIONS), "left_anti"
         )
         ready = {
             # Names of emptied partitions: as many as the windows have days.
             "emptied": [r["folder"] for r in gone.select("folder").collect()],
-            "pointer": {"version": now["version"], "schema": state.schema.json()},
+            "pointer": {"version": now["version"], "schema": schema.json()},
         }
+        outside.unpersist()
         write_small(self.spark, f"{aside}/{READY}", json.dumps(ready))
         self.recover()
-        fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(incoming_path), True)
 
     def recover(self) -> None:
         """Put a merge that is marked ready in place; does nothing otherwise."""
@@ -209,5 +224,22 @@ class TrackStore:
         self.spark.catalog.refreshByPath(current)
 
 
+def touched_in(spark: SparkSession, path: str) -> DataFrame:
+    return stored_partitions(spark, path).select(*PARTITIONS)
+
+
+def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The old columns and then the new ones; a column may not change its type."""
+    known = {f.name: f.dataType for f in old.fields}
+    for field in new.fields:
+        if known.get(field.name, field.dataType) != field.dataType:
+            raise ValueError(
+                f"{field.name} is {known[field.name].simpleString()} in the track, "
+                f"not {field.dataType.simpleString()}"
+            )
+    added = [T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in known]
+    return T.StructType([*old.fields, *added])
+
+
 def _schema_of(pointer: dict) -> T.StructType:
     return T.StructType.fromJson(json.loads(pointer["schema"]))

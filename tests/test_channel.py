@@ -98,17 +98,17 @@ def test_channel_from_files(spark, world, tmp_path):
     assert sorted(os.listdir(tmp_path / "snap" / "DCOMM")) == [f"{c}_260210" for c in sorted(FILES)]
 
     # The same day again, and one more: only LAZADA has new files.
-    put_day = os.path.join(world["folders"]["LAZADA"], "LAZADA_B_260210.parquet")
-    pq.write_table(
-        pa.table({"productName": ["blue soap"], "basePrice": [11.0], "finalPrice": [10.0]}), put_day
-    )
+    # The newest file decides which columns are read, so it has all of them.
+    put(world["folders"]["LAZADA"], "LAZADA_B_260210.parquet", [("blue soap", 10.0)])
+    newest = os.path.join(world["folders"]["LAZADA"], "LAZADA_B_260210.parquet")
+    pq.write_table(pq.read_table(newest).drop(["status"]), newest)
     for _ in range(2):
         run_channel(spark, today=D(2026, 2, 10), **args)
         after = store.read()
         assert rows(after.filter("date < DATE'2026-02-10'").select(*got.columns)) == before
         assert after.count() == 7
     extra = after.filter("date = DATE'2026-02-10'").select("account", "finalPrice", "bfp", "belowBfp", "url")
-    assert rows(extra) == [("lazada", 10.0, 9.5, False, None)]
+    assert rows(extra) == [("lazada", 10.0, 9.5, False, "u")]
     assert spark.table("channel_test_track").count() == 7
 
     # A window without any file changes nothing.

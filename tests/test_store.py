@@ -112,6 +112,12 @@ def test_table_shows_the_current_version(spark):
     assert rows(sink.read().select("account", "date")) == [("007", D(2025, 1, 1))]
 
 
+def test_a_column_keeps_its_type(spark, sink):
+    frame = windows.windows_frame(spark, {"007": (D(2025, 1, 3), D(2025, 1, 3))})
+    with pytest.raises(ValueError, match="price is double"):
+        sink.save(old(spark).withColumn("price", F.lit(1)), "append", frame)
+
+
 def test_modes(spark, sink):
     with pytest.raises(ValueError, match="window"):
         sink.save(old(spark), "append", windows.windows_frame(spark, {}))
