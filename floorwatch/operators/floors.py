@@ -87,6 +87,24 @@ def floor_union(
     return reduce(lambda a, b: a.unionByName(b), branches)
 
 
+def _branches(periods: Sequence[Period], weekly_branch: int) -> Column:
+    """Numbers of the branches that a row belongs to; the weekly one is always among them."""
+    weekly = F.lit(weekly_branch)
+    ordered = sorted(periods, key=lambda p: p.from_yw or 0)
+    apart = all(
+        a.until_yw is not None and b.from_yw is not None and a.until_yw <= b.from_yw
+        for a, b in zip(ordered, ordered[1:])
+    )
+    if not apart:
+        held = [F.when(in_period(p), F.lit(i)) for i, p in enumerate(periods)]
+        return F.array_compact(F.array(*held, weekly))
+    # At most one static period holds: constant arrays, chosen by a plain CASE.
+    chosen = F.array(weekly)
+    for i, period in enumerate(periods):
+        chosen = F.when(in_period(period), F.array(F.lit(i), weekly)).otherwise(chosen)
+    return chosen
+
+
 def floor_single_pass(
     facts: DataFrame,
     statics: Sequence[tuple[Period, DataFrame]],
@@ -120,10 +138,8 @@ def floor_single_pass(
         ],
     )
     yw = year_week(F.col("year"), F.col("week")).cast("int")
-    branches = [F.when(in_period(period), F.lit(i)) for i, (period, _) in enumerate(statics)]
-    repeated = facts.withColumn(
-        "_branch", F.explode(F.array_compact(F.array(*branches, F.lit(weekly_branch))))
-    ).withColumn("_week_key", F.when(F.col("_branch") == weekly_branch, yw).otherwise(0))
+    periods = [period for period, _ in statics]
+    repeated = facts.withColumn("_branch", F.explode(_branches(periods, weekly_branch))).withColumn("_week_key", F.when(F.col("_branch") == weekly_branch, yw).otherwise(0))
     on = [(sku_col, SKU), ("_branch", "_b"), ("_week_key", "_yw")]
     return dim_join(repeated, dim, on, spread=spread, fits=fits).drop("_branch", "_week_key")
 
@@ -153,12 +169,13 @@ def floor_range(
     floor_col: str,
     sku_col: str = "SKUName",
     spread: Column | None = None,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Exactly one period per row: an equality on SKU with a range over weeks."""
     dim = floor_ranges(statics, weekly, floor_col)
     yw = year_week(F.col("year"), F.col("week"))
     held = yw.between(F.col("from_yw"), F.col("to_yw"))
-    joined = dim_join(facts, dim, [(sku_col, SKU)], also=held, spread=spread)
+    joined = dim_join(facts, dim, [(sku_col, SKU)], also=held, spread=spread, fits=fits)
     return joined.drop("from_yw", "to_yw")
 
 

@@ -176,6 +176,7 @@ def override_rows(
     rules: DataFrame,
     sku_col: str = "SKUName",
     spread: Column | None = None,
+    fits: bool | None = None,
 ) -> DataFrame:
     """`override_matches`, `first_override` and `apply_overrides` in one join.
 
@@ -187,7 +188,7 @@ def override_rows(
         .groupBy("_account", "_sku", "_hint")
         .agg(F.max(F.struct("_length", "ruleMultiplier"))["ruleMultiplier"].alias("manualMultiplier"))
     )
-    joined = dim_join(_with_keys(df, sku_col), per_key, _KEYS, spread=spread)
+    joined = dim_join(_with_keys(df, sku_col), per_key, _KEYS, spread=spread, fits=fits)
     return _coalesce_override(joined.drop("_fa", "_fs", "_fh"))
 
 
@@ -199,6 +200,7 @@ def raw_rows(
     packs: Sequence[tuple[str, float]] = EXCLUDED_PACKS,
     sku_col: str = "SKUName",
     spread: Column | None = None,
+    rules_fit: bool | None = None,
 ) -> DataFrame:
     """Rows with multipliers and flag, before any price is divided.
 
@@ -209,7 +211,9 @@ def raw_rows(
         "belowBfp", below_raw(F.col(f"`{floor_col}`"), F.col("Multiplier"))
     )
     kept = exclude_packs(price_cap(flagged, cap), packs, sku_col)
-    return kept if rules is None else override_rows(kept, rules, sku_col, spread)
+    return kept if rules is None else override_rows(
+        kept, rules, sku_col, spread, rules_fit
+    )
 
 
 def processed_rows(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from floorwatch.config import ChannelConfig, Period, RetailerConfig
 from floorwatch.operators.floors import floor_range, floor_single_pass, range_is_exact
 from floorwatch.operators.gaps import gap_report
+from floorwatch.operators.joins import BROADCAST_BYTES, fits_broadcast, measured_bytes
 from floorwatch.operators.match import (
     attach_matches,
     best_match,
@@ -40,6 +41,10 @@ class Floors:
     statics: Sequence[tuple[Period, DataFrame]]
     weekly: DataFrame
 
+    def measured(self) -> int:
+        """Bytes of all tables; every lookup uses a part of them."""
+        return sum(measured_bytes(df) for df in [*(t for _, t in self.statics), self.weekly])
+
 
 @dataclass
 class ChannelResult:
@@ -87,6 +92,8 @@ def retailer_rows(
     rules: DataFrame | None = None,
     spread: Column | None = None,
     one_period: bool = False,
+    floors_fit: bool | None = None,
+    rules_fit: bool | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """(processed, raw) rows with their floors; raw is None where nothing is divided.
 
@@ -105,12 +112,21 @@ def retailer_rows(
     matched = matched_rows(config, retailer, scrapes, mapping, position)
     exact = one_period and range_is_exact(mapping, floors.statics, floors.weekly, floor_col)
     lookup = floor_range if exact else floor_single_pass
-    priced = lookup(matched, floors.statics, floors.weekly, floor_col, sku, spread=position)
+    priced = lookup(
+        matched, floors.statics, floors.weekly, floor_col, sku, spread=position, fits=floors_fit
+    )
     if not config.has_multiplier:
         flagged = priced.withColumn("belowBfp", below_raw(F.col(f"`{floor_col}`")))
         return flagged.drop("_position"), None
     raw = raw_rows(
-        priced, floor_col, rules, config.price_cap, config.excluded_packs, sku, position
+        priced,
+        floor_col,
+        rules,
+        config.price_cap,
+        config.excluded_packs,
+        sku,
+        position,
+        rules_fit,
     ).drop("_position")
     return processed_rows(raw, floor_col, config.promo_words), raw
 
@@ -131,6 +147,9 @@ def build_channel(
     Duplicates are removed once, after the union of the retailers.
     """
     result = ChannelResult(None, None)
+    # Measured once for all retailers.
+    floors_fit = floors.measured() <= BROADCAST_BYTES
+    rules_fit = None if rules is None else fits_broadcast(rules)
     tracks, raw_tracks = [], []
     for retailer in config.retailers:
         rows = scrapes.get(retailer.code)
@@ -138,7 +157,16 @@ def build_channel(
             continue
         mapping = mappings[retailer.code]
         processed, raw = retailer_rows(
-            config, retailer, rows, mapping, floors, rules, spread, one_period
+            config,
+            retailer,
+            rows,
+            mapping,
+            floors,
+            rules,
+            spread,
+            one_period,
+            floors_fit,
+            rules_fit,
         )
 
         def final(df: DataFrame) -> DataFrame:

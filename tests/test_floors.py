@@ -4,7 +4,7 @@ import random
 from conftest import rows
 from pyspark.sql import functions as F
 
-from floorwatch.config import STATIC_PERIODS
+from floorwatch.config import STATIC_PERIODS, Period
 from floorwatch.functions.dates import file_date, iso_year, week_columns
 from floorwatch.operators import floors, track
 
@@ -45,6 +45,14 @@ def test_single_pass_equals_union(spark):
             assert rows(single.select(*union.columns)) == rows(union)
 
 
+def test_overlapping_periods(spark):
+    facts, statics, weekly, _ = tables(spark, early=True, seed=5)
+    wide = [(Period("all", None, 202606), statics[0][1]), statics[1]]
+    union = floors.floor_union(facts, wide, weekly, FLOOR)
+    single = floors.floor_single_pass(facts, wide, weekly, FLOOR)
+    assert rows(single.select(*union.columns)) == rows(union)
+
+
 def test_range_equals_union_where_the_check_says_so(spark):
     for seed in (3, 4):
         facts, statics, weekly, mapping = tables(spark, seed=seed)
