@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in a local session without it."""
+    """The cluster's checkpoint folder, else a folder in the warehouse, which is shared too."""
     context = spark.sparkContext
     folder = context.getConf().get(SETTING) or spark.conf.get(SETTING, None)
     if folder:
@@ -19,9 +18,10 @@ def shared_dir(spark: SparkSession) -> str:
     set_already = context._jsc.sc().getCheckpointDir()
     if set_already.isDefined():
         return set_already.get()
-    if not context.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
         raise RuntimeError(f"Set {SETTING} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="floorwatch-")
+    folder = f"{warehouse.rstrip('/')}/_shared"
     context.setCheckpointDir(folder)
     return folder
 
@@ -31,9 +31,11 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write once, read back: no recomputation, and a size the planner knows."""
+    """Write once, read back: no recomputation, and a size the planner knows. Gone when the session ends."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
+    fs, where = file_system(df.sparkSession, path)
+    fs.deleteOnExit(where)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
