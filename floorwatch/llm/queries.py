@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floorwatch.llm import contamination, packing, quality, tokens
+from floorwatch.llm import contamination, neardup, packing, quality, tokens
 from floorwatch.llm.tables import read
 
 
@@ -17,6 +17,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination.scan(docs, read(spark, sf_dir, "benchmark"))
@@ -39,6 +43,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_token_counts": op7_token_counts,
     "op9_best_fit_packing": op9_best_fit_packing,
