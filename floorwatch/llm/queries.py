@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floorwatch.llm import contamination, neardup, packing, quality, tokens
+from floorwatch.llm import contamination, neardup, packing, quality, suffixes, superkmers, tokens
 from floorwatch.llm.tables import read
 
 
@@ -21,6 +21,11 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.dedup_substrings(read(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination.scan(docs, read(spark, sf_dir, "benchmark"))
@@ -38,14 +43,21 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = superkmers.dedup_passages(read(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept", "n_spans")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_token_counts": op7_token_counts,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
 }
