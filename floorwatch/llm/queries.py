@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floorwatch.llm import contamination, neardup, packing, quality, suffixes, superkmers, tokens
+from floorwatch.llm import contamination, linedup, neardup, packing, quality, suffixes, superkmers, tokens
 from floorwatch.llm.tables import read
 
 
@@ -17,6 +17,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
