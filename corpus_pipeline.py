@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from floorwatch.llm import quality
+from floorwatch.llm import contamination, linedup, neardup, packing, quality
 from floorwatch.llm.tables import keep, read
 
 
@@ -13,11 +13,35 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each alike line only where it stands first; a document may end up empty."""
+    return linedup.dedup_lines(docs).select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each connected group."""
+    return neardup.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return contamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their places in sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("best_fit_packing", best_fit_packing),
 ]
 
-#: SQL can't express the fuzzy stages; tests hold them against brute force.
+#: SQL can't express the fuzzy stages and the tokens; tests hold them against brute force.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floorwatch.llm import contamination, linedup, neardup, packing, quality, suffixes, superkmers, tokens
+from floorwatch.llm import contamination, extraction, linedup, neardup, packing, quality, suffixes, superkmers, tokens, toxicity
 from floorwatch.llm.tables import read
 
 
@@ -17,6 +17,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = toxicity.train(docs, read(spark, sf_dir, "labels").filter(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(read(spark, sf_dir, "pages"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -58,6 +71,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_html_extraction": op2_html_extraction,
     "op3_line_dedup": op3_line_dedup,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
