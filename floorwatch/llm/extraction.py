@@ -152,6 +152,18 @@ BLOCKS = """
 1 100 1 100 1 100 0 0 0 0 | 2 100 1 100 2 100 0 0 0 0 | 3 100 0 0 2 100 0 0 0 0 | 5 80 3 100 4 100 0 0 0 0
 20 90 3 100 12 80 0 0 0 0 | 2 0 1 100 3 100 0 0 0 0 | 4 0 6 60 0 0 0 0 0 0 | 7 50 30 0 5 100 0 0 0 0
 3 0 4 100 2 100 0 0 0 0 | 6 0 3 50 4 0 0 0 0 0 | 5 0 4 0 0 0 0 0 0 0 | 2 0 3 0 4 0 0 0 1 0
+2 0 0 0 1 100 0 1 0 1 | 9 0 1 100 5 0 0 1 0 1 | 30 0 2 100 1 0 0 1 0 1 | 4 100 2 100 3 100 0 1 0 1
+1 0 2 0 60 40 0 1 0 1 | 75 10 1 50 3 100 0 1 0 1 | 12 0 5 0 4 100 0 1 1 1 | 3 0 2 0 1 0 0 1 0 1
+50 0 20 0 3 20 0 1 0 1 | 7 0 1 0 2 0 0 1 0 1 | 18 30 4 0 7 0 0 1 0 1 | 2 100 9 0 0 0 0 1 0 1
+1 0 33 0 25 0 0 1 0 1 | 140 0 1 0 1 0 0 1 0 1 | 66 0 2 0 4 100 0 1 0 1 | 5 50 1 100 70 0 0 1 0 1
+90 0 3 0 50 0 0 -1 0 0 | 45 0 60 0 70 0 0 -1 0 0 | 10 0 2 0 40 0 0 -1 1 0 | 6 0 50 0 30 0 0 -1 0 0
+22 5 9 0 12 0 0 -1 0 0 | 1 0 70 0 0 0 0 -1 0 0 | 35 0 1 100 90 0 0 -1 0 0 | 12 0 80 0 60 0 0 -1 0 0
+28 0 20 0 16 0 0 -1 0 0 | 16 0 14 0 25 0 0 -1 0 0 | 120 0 40 0 2 100 0 -1 0 0 | 8 0 30 0 100 0 0 -1 1 0
+5 0 1 100 24 0 0 0 1 1 | 24 0 5 0 18 0 0 0 0 1 | 18 0 24 0 5 0 0 0 0 1 | 7 0 18 0 22 0 0 0 0 1
+16 0 7 0 1 100 0 0 0 1 | 31 6 16 0 2 100 0 0 0 1 | 12 0 28 0 19 0 0 0 0 1 | 55 0 1 100 1 100 0 0 0 1
+2 0 1 100 31 0 0 0 1 1 | 8 12 29 0 44 0 0 0 0 1 | 21 0 2 0 33 0 0 0 0 1 | 37 4 21 0 2 0 0 0 0 1
+2 0 1 100 1 100 0 0 0 0 | 4 0 2 100 3 0 0 0 0 0 | 3 0 5 0 0 0 0 0 0 0 | 1 100 2 100 22 0 0 0 0 0
+3 100 30 0 2 100 0 0 0 0 | 2 0 26 0 0 0 0 0 0 0 | 6 83 1 100 35 0 0 0 0 0 | 9 100 8 100 7 100 0 0 0 0
 """
 
 
