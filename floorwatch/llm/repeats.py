@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +45,7 @@ COUNTED = 64
 FREQUENT = 1024
 
 #: Bytes of strings that are compared at once in a shard, if no minimiser has more.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 512 << 10
 
 
 @dataclass
@@ -160,6 +161,27 @@ def _by_doc(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[list[i
     return doc[heads].tolist(), [merged(start[a:b], end[a:b]).tobytes() for a, b in zip(heads, tails, strict=True)]
 
 
+def _bale(columns: list[np.ndarray], strings: list[bytes]) -> bytes:
+    """What a chunk sends to a shard: four columns, the lengths of the strings, and the strings, compressed."""
+    numbers = np.stack([*columns, np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))])
+    return zstandard.ZstdCompressor(level=1).compress(len(strings).to_bytes(8, "little") + numbers.tobytes() + b"".join(strings))
+
+
+def _opened(bales: pa.ChunkedArray) -> tuple[list[np.ndarray], list[bytes]]:
+    parts, strings = [], []
+    opener = zstandard.ZstdDecompressor()
+    for bale in bales:
+        data = opener.decompress(bale.as_py())
+        n = int.from_bytes(data[:8], "little")
+        numbers = np.frombuffer(data, dtype=np.int64, count=5 * n, offset=8).reshape(5, n)
+        at = 8 + 40 * n
+        for size in numbers[4].tolist():
+            strings.append(data[at : at + size])
+            at += size
+        parts.append(numbers[:4])
+    return list(np.concatenate(parts, axis=1)), strings
+
+
 def spans(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """doc_id, spans: pairs of int32, units of the document that windows of smaller documents cover."""
     spark = docs.sparkSession
@@ -193,22 +215,24 @@ def spans(docs: DataFrame, scheme: Scheme) -> DataFrame:
             gone = owner > least_owner
             sent = np.flatnonzero(~gone)
             lost, blobs = _by_doc(owner[gone], local[gone], local[gone] + number[gone] + scheme.window - 1)
-            shard = (mix(key[sent]) % np.uint64(shards)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([shard, np.asarray(lost, dtype=np.int64) % shards]).astype(np.int32)),
-                    pa.array(np.concatenate([key[sent].view(np.int64), np.zeros(len(lost), dtype=np.int64)])),
-                    pa.array(np.concatenate([owner[sent], np.asarray(lost, dtype=np.int64)])),
-                    pa.array(np.concatenate([local[sent], np.full(len(lost), -1)]).astype(np.int32)),
-                    pa.array(np.concatenate([number[sent], np.zeros(len(lost), dtype=np.int64)]).astype(np.int32)),
-                    pa.array([*(bodies[i] for i in sent), *blobs], pa.binary()),
-                ],
-                names=["shard", "key", "doc_id", "start", "number", "body"],
-            )
+            lost_ids = np.asarray(lost, dtype=np.int64)
+            shard = np.concatenate([(mix(key[sent]) % np.uint64(shards)).astype(np.int64), np.abs(lost_ids) % shards])
+            order = np.argsort(shard, kind="stable")
+            columns = [
+                np.concatenate([key[sent].view(np.int64), np.zeros(len(lost), dtype=np.int64)])[order],
+                np.concatenate([owner[sent], lost_ids])[order],
+                np.concatenate([local[sent], np.full(len(lost), -1)])[order],
+                np.concatenate([number[sent], np.zeros(len(lost), dtype=np.int64)])[order],
+            ]
+            strings = [*(bodies[i] for i in sent), *blobs]
+            strings = [strings[i] for i in order]
+            found, heads = np.unique(shard[order], return_index=True)
+            tails = np.append(heads[1:], len(order))
+            bales = [_bale([c[a:b] for c in columns], strings[a:b]) for a, b in zip(heads, tails, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(bales, pa.binary())], names=["shard", "bale"])
 
     def resolved(table: pa.Table) -> pa.Table:
-        key, doc, start, number = (table.column(c).to_numpy() for c in ("key", "doc_id", "start", "number"))
-        body = table.column("body").to_pylist()
+        (key, doc, start, number), body = _opened(table.column("bale"))
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for i in np.flatnonzero(start < 0):
             known = np.frombuffer(body[i], dtype=np.int32).reshape(-1, 2)
@@ -253,9 +277,7 @@ def spans(docs: DataFrame, scheme: Scheme) -> DataFrame:
         ids, blobs = _by_doc(*found)
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "spans": pa.array(blobs, pa.binary())})
 
-    rows = docs.filter("doc_id is not null").mapInArrow(
-        packed, "shard int, key long, doc_id long, start int, number int, body binary"
-    )
+    rows = docs.filter("doc_id is not null").mapInArrow(packed, "shard long, bale binary")
     return rows.groupBy("shard").applyInArrow(resolved, "doc_id long, spans binary")
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; a longer document is taken alone.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 #: Bytes of words: all but space, tab, line feed, vertical tab, form feed, carriage return.
 NOT_SPACE = np.ones(256, dtype=bool)
@@ -33,7 +33,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     """The first n powers of an odd number, or of its inverse, modulo 2**64; kept between calls."""
     if len(_powers[inverse]) < n:
         base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
-        steps = np.full(max(n, 2 * CHUNK), base, dtype=np.uint64)
+        steps = np.full(max(n, CHUNK + CHUNK // 8), base, dtype=np.uint64)
         steps[0] = 1
         _powers[inverse] = np.cumprod(steps, dtype=np.uint64)
     return _powers[inverse][:n]
