@@ -154,9 +154,11 @@ def merged(start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def _by_doc(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[list[int], list[bytes]]:
+    if not len(doc):
+        return [], []
     order = np.lexsort((start, doc))
     doc, start, end = doc[order], start[order], end[order]
-    heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, dtype=np.int64)
+    heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
     tails = np.append(heads[1:], len(doc))
     return doc[heads].tolist(), [merged(start[a:b], end[a:b]).tobytes() for a, b in zip(heads, tails, strict=True)]
 
@@ -227,7 +229,7 @@ def spans(docs: DataFrame, scheme: Scheme) -> DataFrame:
             strings = [*(bodies[i] for i in sent), *blobs]
             strings = [strings[i] for i in order]
             found, heads = np.unique(shard[order], return_index=True)
-            tails = np.append(heads[1:], len(order))
+            tails = np.append(heads[1:], len(order))[: len(heads)]
             bales = [_bale([c[a:b] for c in columns], strings[a:b]) for a, b in zip(heads, tails, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(bales, pa.binary())], names=["shard", "bale"])
 
@@ -249,7 +251,7 @@ def spans(docs: DataFrame, scheme: Scheme) -> DataFrame:
         minimiser[index] = key[rows]
         strings = list(which)
         order = np.argsort(minimiser, kind="stable")
-        heads = np.flatnonzero(np.concatenate([[True], np.diff(minimiser[order]) != 0])) if len(order) else []
+        heads = np.flatnonzero(np.concatenate([[True], np.diff(minimiser[order]) != 0])) if len(order) else np.zeros(0, dtype=np.int64)
         group: list[int] = []
         weight = 0
         windows: dict[int, np.ndarray] = {}
@@ -260,7 +262,8 @@ def spans(docs: DataFrame, scheme: Scheme) -> DataFrame:
                 if len(repeated_at):
                     windows[i] = repeated_at
 
-        for a, b in zip(heads, np.append(heads[1:], len(order)), strict=True):
+        tails = np.append(heads[1:], len(order)).astype(np.int64)[: len(heads)]
+        for a, b in zip(heads, tails, strict=True):
             if b - a > 1:
                 group += order[a:b].tolist()
                 weight += sum(len(strings[i]) for i in order[a:b])
