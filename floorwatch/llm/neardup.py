@@ -8,7 +8,7 @@ together and others part; a pair may go on in more than one child. After DEPTH b
 large is compared block by block, which is exact as well.
 
 A pair at the threshold of 0.85 shares a first node in 85 % of the trees, and a branching keeps it with probability
-1 - 0.15^2; after five branchings a tree finds it with 80 %, and TREES trees miss it with less than 1 in a million.
+1 - 0.15^2. So TREES trees miss it with a chance of 1 in 100,000, and in nodes that branch of 1 in 10,000.
 
 Within a leaf a link between members that are connected already is left out, so that a leaf of n members yields at most
 n - 1 links and components are those of all links.
@@ -33,11 +33,13 @@ from floorwatch.llm.words import chunks, grams, mix, powers, words_of
 WORDS = 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 85
-TREES = 10
-POSITIONS = 24
+TREES = 6
+POSITIONS = 16
 BRANCHES = 2
-DEPTH = 8
-LEAF = 512
+DEPTH = 3
+#: Classes of a leaf, and shingles of all of them together.
+LEAF = 2048
+LEAF_SHINGLES = 4_000_000
 
 SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, sketch array<long>"
 
@@ -102,18 +104,19 @@ def full_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 def _sized(rows: DataFrame, label: str) -> DataFrame:
     """Rows of nodes that have company, with the number of members."""
-    sizes = rows.groupBy("node").count().filter("count > 1").withColumnRenamed("count", "size")
+    sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("weight")).filter("size > 1")
     return keep(rows.join(sizes, "node"), label)
 
 
 def leaves(classes: DataFrame) -> DataFrame:
-    """leaf, doc_id: groups whose members are to be compared with each other. classes: doc_id, sketch."""
+    """leaf, doc_id: groups whose members are to be compared with each other. classes: doc_id, n_shingles, sketch."""
     first = F.slice("sketch", 1, TREES)
-    rows = classes.select("doc_id", F.posexplode(first).alias("tree", "value"))
-    level = _sized(rows.select("doc_id", F.xxhash64("tree", "value").alias("node")), "nodes")
-    done = level.filter(F.col("size") <= LEAF).select(F.col("node").alias("leaf"), "doc_id")
+    rows = classes.select("doc_id", "n_shingles", F.posexplode(first).alias("tree", "value"))
+    level = _sized(rows.select("doc_id", "n_shingles", F.xxhash64("tree", "value").alias("node")), "nodes")
+    is_large = (F.col("size") > LEAF) | (F.col("weight") > LEAF_SHINGLES)
+    done = level.filter(~is_large).select(F.col("node").alias("leaf"), "doc_id")
     for depth in range(1, DEPTH + 1):
-        large = level.filter(F.col("size") > LEAF)
+        large = level.filter(is_large)
         if large.isEmpty():
             break
         if depth == DEPTH:
@@ -121,10 +124,10 @@ def leaves(classes: DataFrame) -> DataFrame:
             break
         position = lambda i: F.pmod(F.xxhash64("node", F.lit(i)), F.lit(POSITIONS))
         chosen = F.array_distinct(F.array(*(position(i) for i in range(BRANCHES))))
-        rows = large.join(classes, "doc_id").select("doc_id", "node", "sketch", F.explode(chosen).alias("at"))
+        rows = large.join(classes.drop("n_shingles"), "doc_id").select("doc_id", "n_shingles", "node", "sketch", F.explode(chosen).alias("at"))
         child = F.xxhash64("node", "at", F.get("sketch", F.col("at").cast("int")))
-        level = _sized(rows.select("doc_id", child.alias("node")), "nodes")
-        done = done.union(level.filter(F.col("size") <= LEAF).select(F.col("node").alias("leaf"), "doc_id"))
+        level = _sized(rows.select("doc_id", "n_shingles", child.alias("node")), "nodes")
+        done = done.union(level.filter(~is_large).select(F.col("node").alias("leaf"), "doc_id"))
     # the same members often meet in several trees; one leaf of each membership does
     members = done.groupBy("leaf").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("who"))
     one = members.groupBy("n", "who").agg(F.min("leaf").alias("leaf")).select("leaf")
@@ -133,7 +136,7 @@ def leaves(classes: DataFrame) -> DataFrame:
 
 def _blocks(large: DataFrame) -> DataFrame:
     """Members dealt into blocks of half a leaf, and a leaf for every two blocks."""
-    number = F.ceil(F.col("size") / F.lit(LEAF // 2)).cast("int")
+    number = F.ceil(F.greatest(F.col("size") / (LEAF // 2), F.col("weight") / (LEAF_SHINGLES // 2))).cast("int")
     own = F.pmod(F.xxhash64("doc_id", "node"), number)
     rows = large.select("doc_id", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), number - 1)).alias("other"))
     leaf = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
@@ -190,7 +193,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     classes = some.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("class"))
     firsts = keep(
         some.join(classes.select(F.col("class").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .select("doc_id", "sketch").dropDuplicates(["doc_id"]),
+        .select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"]),
         "classes",
     )
     groups = leaves(firsts)

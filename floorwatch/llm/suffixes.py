@@ -23,7 +23,7 @@ from floorwatch.llm.repeats import Scheme, Units, remove
 from floorwatch.llm.words import prefix_hash, raw, span_hash
 
 WINDOW = 50
-GRAM = 24
+GRAM = 28
 
 #: Alphabets that an inducing pass walks through; larger ones are sorted by doubling.
 ALPHABET = 4096
