@@ -47,6 +47,18 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["path", "label", "day", "position", "column", "type"])
 
 
+def renamed(df: DataFrame, renames: Sequence[tuple[str, str]]) -> DataFrame:
+    """Old names into new ones; where a file has both, the new one's value counts if there is one."""
+    for old, new in renames:
+        if old not in df.columns or old == new:
+            continue
+        if new in df.columns:
+            df = df.withColumn(new, F.coalesce(F.col(f"`{new}`"), F.col(f"`{old}`"))).drop(old)
+        else:
+            df = df.withColumnRenamed(old, new)
+    return df
+
+
 def footers(files: DataFrame) -> DataFrame:
     """One row per file and column, from the footers alone."""
     return files.select("path", "label", "day").mapInPandas(_read_footers, FOOTER_FIELDS)
@@ -142,7 +154,7 @@ def load_scrapes(
     if not groups:
         return None
 
-    as_stored = read_folder(spark, newest).withColumnsRenamed(dict(renames))
+    as_stored = renamed(read_folder(spark, newest), renames)
     schema = canonical_schema(as_stored.schema)
     parts = []
     for _, paths in groups:
@@ -151,7 +163,7 @@ def load_scrapes(
             part = read_folder(spark, folder)
         else:
             part = read_folder(spark, *paths)
-        part = part.select("*", scanned_label().alias("_file")).withColumnsRenamed(dict(renames))
+        part = renamed(part.select("*", scanned_label().alias("_file")), renames)
         parts.append(to_schema(part, schema, keep=["_file"]))
     rows = reduce(lambda a, b: a.unionByName(b), parts)
     named = enrich(rows, F.col("_file"), file_regex, account, by_iso_year)

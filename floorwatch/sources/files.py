@@ -118,7 +118,7 @@ def enrich(
 def write_named(df: DataFrame, folder: str, name_col: str) -> None:
     """Write the rows of each name to a folder of that name under ``folder``.
 
-    Tasks write in parallel, several parts per name if need be; the driver
+    A folder of that name is replaced. Tasks write in parallel, several parts per name if need be; the driver
     only renames folders.
     """
     spark = df.sparkSession
@@ -130,6 +130,8 @@ def write_named(df: DataFrame, folder: str, name_col: str) -> None:
         found = re.fullmatch(rf"{re.escape(name_col)}=(.*)", status.getPath().getName())
         if found:
             target = path_of(f"{folder.rstrip('/')}/{unquote(found.group(1))}")
+            # a folder left by an earlier run is replaced; a rename would move into it
+            fs.delete(target, True)
             if not fs.rename(status.getPath(), target):
                 raise OSError(f"Cannot put {target} in place")
     fs.delete(stage_path, True)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from floorwatch.operators.joins import dim_join
 from floorwatch.operators.track import observed_rows
 from floorwatch.operators.windows import clear_windows
-from floorwatch.sources.shared import file_system, read_small, write_small
+from floorwatch.sources.shared import file_system, materialise, read_small, write_small
 
 PARTITIONS = ("account", "date")
 POINTER = "CURRENT"
@@ -61,7 +61,14 @@ def stored_partitions(spark: SparkSession, path: str) -> DataFrame:
     fs, where = file_system(spark, path)
     if not any(s.isDirectory() for s in fs.listStatus(where)):
         return spark.createDataFrame([], "account string, date date, folder string")
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    # Accounts are text even if all look like numbers: values are taken as they are written.
+    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    finally:
+        spark.conf.set(setting, before)
     folder = F.regexp_extract("path", "account=[^/]*/date=[^/]*", 0).alias("folder")
     return listed.select(
         F.col("account").cast("string"), F.col("date").cast("date"), folder
@@ -152,7 +159,11 @@ class TrackStore:
         if not distinct:
             new = new.dropDuplicates()
         if now is None:
-            self.replace(new)
+            known = self.read()
+            if known is None:
+                self.replace(new)
+            else:
+                self._merge_into_table(known, new, windows)
             return
         aside = f"{self.base}/{PENDING}"
         fs, where = file_system(self.spark, aside)
@@ -197,6 +208,15 @@ class TrackStore:
         write_small(self.spark, f"{aside}/{READY}", json.dumps(ready))
         self.recover()
 
+    def _merge_into_table(self, known: DataFrame, new: DataFrame, windows: DataFrame) -> None:
+        """Merge with a table that was made elsewhere: its entry stays, only its rows are overwritten."""
+        if set(new.columns) != set(known.columns):
+            raise ValueError(f"{self.table} has other columns: {known.columns}")
+        state = clear_windows(known, windows).unionByName(new).dropDuplicates()
+        # written aside first, since a table cannot be read while it is overwritten
+        state = materialise(state.select(known.columns), "merged-table")
+        state.write.mode("overwrite").insertInto(self.table)
+
     def recover(self) -> None:
         """Put a merge that is marked ready in place; does nothing otherwise."""
         aside = f"{self.base}/{PENDING}"
