@@ -4,8 +4,8 @@ Where a word leaves the trie at node v, the longest-match tokens that surely com
 precomputed as a number, and the failure link leads to the node of what is left. So each byte is read once and no
 piece is ever built. All distinct words of a chunk walk through the trie side by side in numpy.
 
-Words are runs of bytes other than ASCII white space, A-Z in lower case, with an end mark that belongs to their last
-token. A word that cannot be covered counts as one token. Null and empty texts have no words and no tokens.
+Words are runs of bytes other than ASCII white space, A-Z in lower case. The vocabulary's tokens are taken without their
+end-of-word marks, so that any piece may stand anywhere in a word. A word that cannot be covered counts as one token. Null and empty texts have no words and no tokens.
 """
 
 from __future__ import annotations
@@ -22,27 +22,22 @@ from pyspark.sql import functions as F
 from floorwatch.llm.words import chunks, words_of
 
 VOCABULARY = "word_bpe_49k.json"
-END = 256
-_WIDTH = 257
+_WIDTH = 256
 
 
 def vocabulary(name: str = VOCABULARY) -> list[tuple[int, ...]]:
-    """Tokens of the file as symbols: bytes, and END where the token ends a word."""
+    """Distinct tokens of the file as bytes."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     shown = {chr(b): b for b in plain}  # the printable stand-ins of byte-level vocabularies
     shown |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
     with open(public_tokenizers.path(name)) as file:
         tokens = json.load(file)["model"]["vocab"]
-    out = []
-    for token in tokens:
-        body, ends = token.removesuffix("</w>"), token.endswith("</w>")
-        if body and all(c in shown for c in body):
-            out.append((*(shown[c] for c in body), *([END] if ends else [])))
-    return out
+    bodies = {token.removesuffix("</w>") for token in tokens}
+    return sorted(tuple(shown[c] for c in body) for body in bodies if body and all(c in shown for c in body))
 
 
 class Automaton:
-    """keys (node * 257 + symbol, sorted) and targets of the trie; per node its failure link (-1: none) and pops."""
+    """keys (node * 256 + byte, sorted) and targets of the trie; per node its failure link (-1: none) and pops."""
 
     def __init__(self, tokens: Iterable[tuple[int, ...]]):
         children: list[dict[int, int]] = [{}]
@@ -88,12 +83,10 @@ class Automaton:
         node = np.zeros(len(starts), dtype=np.int64)
         lost = np.zeros(len(starts), dtype=bool)
         count = np.zeros(len(starts), dtype=np.int64)
-        for i in range(int(sizes[0]) + 1 if len(sizes) else 0):
-            walking = int(np.searchsorted(-sizes, -i, side="right"))
+        for i in range(int(sizes[0]) if len(sizes) else 0):
+            walking = int(np.searchsorted(-sizes, -i, side="left"))
             at = np.flatnonzero(~lost[:walking])
-            symbol = np.full(len(at), END)
-            inside = sizes[at] > i
-            symbol[inside] = data[starts[at[inside]] + i]
+            symbol = data[starts[at] + i].astype(np.int64)
             while len(at):
                 there = self.step(node[at], symbol)
                 node[at[there >= 0]] = there[there >= 0]
