@@ -252,7 +252,7 @@ def test_toxic_words_are_learnt():
     rng = np.random.default_rng(0)
     vocabulary = [f"{a}{b}{c}" for a in ("ka", "mo", "ti", "lu", "se") for b in ("ren", "sol", "dip", "gan") for c in ("a", "et", "on")]
     make = lambda bad: " ".join(rng.choice(vocabulary, 60)) + " " + " ".join(rng.choice(["scumbag", "vermin"], 4) if bad else [])
-    texts, labels = zip(*[(make(i % 3 == 0), int(i % 3 == 0)) for i in range(240)], strict=True)
+    texts, labels = zip(*[(make(i % 4 == 0), int(i % 4 == 0)) for i in range(240)], strict=True)
     model = toxicity.fit(list(texts), list(labels))
     pair = model.dictionaries.compressors()
     new = [make(i % 2 == 0) for i in range(60)]
