@@ -38,7 +38,7 @@ FOLDS = 3
 
 #: A segment is in this share of the documents of its class at least (and in three of them), and so many times as
 #: frequent as in the other class. Rarer ones mark single documents and their copies rather than a class.
-SEGMENT_SHARE = 0.03
+SEGMENT_SHARE = 0.05
 SEGMENT_RATIO = 30
 
 #: Characters at the ends of words that are no part of them.
