@@ -216,6 +216,33 @@ def test_alike_lines_go_but_the_first(spark):
     assert kept[3][1] in (0, 1)  # one letter apart: removed if the SimHashes are close
 
 
+def test_lines_alike_by_brute_force_are_found(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 9))) for _ in range(3000)]
+    lines = ["page number 12", "page number 13", "wonderful", "wonderfull day", "wonderful day"]
+    for n in [*range(5, 61)] * 4:
+        w = list(rng.choice(vocabulary, n))
+        lines.append(" ".join(w))
+        for kind in range(4):  # a word changed, a word put in, two letters changed, a tenth of the words changed
+            v = list(w)
+            for i in rng.choice(n, (1, 0, 2, max(1, n // 10))[kind], replace=False):
+                v[i] = v[i][:-1] + "q" if kind == 2 else str(rng.choice(vocabulary))
+            if kind == 1:
+                v.insert(int(rng.integers(n)), str(rng.choice(vocabulary)))
+            lines.append(" ".join(v))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    pairs = docs.alias("a").crossJoin(docs.alias("b")).filter("a.doc_id < b.doc_id").selectExpr(
+        "a.doc_id as a", "b.doc_id as b", "a.text as at", "b.text as bt", "greatest(length(a.text), length(b.text)) div 10 as most"
+    )
+    pairs = pairs.filter("abs(length(at) - length(bt)) <= most and levenshtein(at, bt, cast(most as int)) >= 0")
+    roots = Roots()
+    for r in pairs.collect():
+        roots.join(r["a"], r["b"])
+    expected = {d for d in list(roots) if roots.of(d) != d}
+    gone = {r["doc_id"] for r in linedup.dedup_lines(docs).filter("n_removed > 0").collect()}
+    assert len(expected) > 500 and gone <= expected and len(gone) >= 0.99 * len(expected)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 120)] + [(7, 7)]
     found = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
