@@ -289,6 +289,37 @@ def test_toxic_words_are_learnt():
     assert toxicity.fit(["a"], [1]) is None
 
 
+def test_the_threshold_does_not_depend_on_the_sample():
+    rng = np.random.default_rng(1)
+    make = lambda y, n: np.column_stack([rng.normal(2.0 * y, 1, n) for _ in range(2)])
+    good, bad = make(0, 8800), make(1, 1200)
+    limits = []
+    for n in (8800, 1200):  # all ordinary rows, then as many as toxic ones
+        y = np.repeat([0.0, 1.0], [n, 1200])
+        model = toxicity.calibrated(None, np.concatenate([good[:n], bad]), y, np.where(y == 1, 1, 8800 / n))
+        limits.append((model.scores(np.concatenate([good, bad])) >= toxicity.THRESHOLD).sum())
+    assert abs(limits[0] - limits[1]) < 0.15 * limits[0]
+
+
+def test_rows_of_a_capped_class_stand_for_all(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 10)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(60)], "doc_id long, text string")
+    sample, weight = toxicity.sampled(docs, docs.selectExpr("doc_id", "int(doc_id < 20) as toxic"))
+    assert weight == (4.0, 2.0) and sample.count() == 20
+
+
+def test_toxic_words_at_the_end_of_long_texts_are_learnt(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = [f"{a}{b}{c}" for a in ("ka", "mo", "ti", "lu", "se") for b in ("ren", "sol", "dip", "gan") for c in ("a", "et", "on")]
+    rows = [(i, " ".join(rng.choice(vocabulary, 4500)) + (" scumbag vermin" * 3 if i % 4 == 0 else "")) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, docs.selectExpr("doc_id", "int(doc_id % 4 = 0) as toxic"))
+    assert b" scumbag " in model.dictionaries.toxic and b" vermin " in model.dictionaries.toxic
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert np.mean([found[i] for i in range(0, 60, 4)]) > 2 * np.mean([v for i, v in found.items() if i % 4])
+    assert b" last " in b"".join(toxicity._pieces("word " * 5000 + "last"))
+
+
 OPERATORS = {
     "passages": superkmers.dedup_passages,
     "substrings": suffixes.dedup_substrings,
