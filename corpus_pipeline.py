@@ -19,8 +19,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each connected group."""
-    return neardup.keep_one(docs)
+    """One document of each connected group of a similarity of 0.8 or more."""
+    return neardup.keep_one(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

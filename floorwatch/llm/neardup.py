@@ -1,14 +1,15 @@
 """Near duplicates by chosen paths: documents branch by minwise shingles until the nodes are small enough to compare.
 
 A document is its set of `words` consecutive words, hashed to 64 bits. Documents with equal sets are one class from the
-start, its smallest doc_id stands for it. Each of TREES trees puts every class into the node of one of its minwise
+start, its smallest doc_id stands for it. Each of several trees puts every class into the node of one of its minwise
 values. A node of at most LEAF classes is compared exhaustively, on full sets. A larger one branches: BRANCHES minwise
 positions are chosen by the node, and each member goes to the child of its value there, so that alike members stay
 together and others part; a pair may go on in more than one child. After DEPTH branchings a node that is still too
 large is compared block by block, which is exact as well.
 
-A pair at the threshold of 0.85 shares a first node in 85 % of the trees, and a branching keeps it with probability
-1 - 0.15^2. So TREES trees miss it with a chance of 1 in 100,000, and in nodes that branch of 1 in 10,000.
+A pair at a threshold of 0.85 shares a first node in 85 % of the trees, and a branching keeps it with probability
+1 - 0.15^2. So six trees miss it with a chance of 1 in 100,000, and in nodes that branch of 1 in 10,000. Other thresholds
+have as many trees as that takes: eight at 0.80.
 
 Within a leaf a link between members that are connected already is left out, so that a leaf of n members yields at most
 n - 1 links and components are those of all links.
@@ -31,9 +32,10 @@ from floorwatch.llm.tables import bitmap_of, has_key, keep
 from floorwatch.llm.words import chunks, grams, mix, powers, words_of
 
 WORDS = 5
-#: Links have 100 * intersection >= PERCENT * union.
+#: Links have 100 * intersection >= PERCENT * union, unless another percentage is asked for.
 PERCENT = 85
-TREES = 6
+#: Chance that a pair at the threshold shares a first node in no tree.
+MISSED = 1.2e-5
 POSITIONS = 16
 BRANCHES = 2
 DEPTH = 3
@@ -108,9 +110,14 @@ def _sized(rows: DataFrame, label: str) -> DataFrame:
     return keep(rows.join(sizes, "node"), label)
 
 
-def leaves(classes: DataFrame) -> DataFrame:
+def trees(percent: int) -> int:
+    """How many trees a threshold takes, as far as there are positions."""
+    return next((n for n in range(1, POSITIONS) if (1 - percent / 100) ** n <= MISSED), POSITIONS)
+
+
+def leaves(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """leaf, doc_id: groups whose members are to be compared with each other. classes: doc_id, n_shingles, sketch."""
-    first = F.slice("sketch", 1, TREES)
+    first = F.slice("sketch", 1, trees(percent))
     rows = classes.select("doc_id", "n_shingles", F.posexplode(first).alias("tree", "value"))
     level = _sized(rows.select("doc_id", "n_shingles", F.xxhash64("tree", "value").alias("node")), "nodes")
     is_large = (F.col("size") > LEAF) | (F.col("weight") > LEAF_SHINGLES)
@@ -178,14 +185,14 @@ def compare(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) ->
     return links
 
 
-def _compared(table: pa.Table) -> pa.Table:
+def _compared(table: pa.Table, percent: int) -> pa.Table:
     ids = table.column("doc_id").to_numpy()
     sets = [np.frombuffer(b.as_py(), dtype=np.uint64) for b in table.column("shingles")]
-    links = np.asarray(compare(ids, sets), dtype=np.int64).reshape(-1, 2)
+    links = np.asarray(compare(ids, sets, percent), dtype=np.int64).reshape(-1, 2)
     return pa.table({"a": pa.array(links[:, 0]), "b": pa.array(links[:, 1])})
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id) of every row."""
     mine = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = keep(sketches(mine), "sketches")
@@ -196,10 +203,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"]),
         "classes",
     )
-    groups = leaves(firsts)
+    groups = leaves(firsts, percent)
     seen = bitmap_of(groups, "doc_id")
     wanted = mine.filter(F.col("doc_id").isNotNull() & has_key(docs.sparkSession, seen, F.col("doc_id")))
-    links = groups.join(full_sets(wanted), "doc_id").groupBy("leaf").applyInArrow(_compared, "a long, b long")
+
+    def compared(table: pa.Table) -> pa.Table:
+        return _compared(table, percent)
+
+    links = groups.join(full_sets(wanted), "doc_id").groupBy("leaf").applyInArrow(compared, "a long, b long")
     roots = components(links)
     known = some.select("doc_id", "n_shingles", "f1", "f2").join(classes, ["n_shingles", "f1", "f2"])
     found = known.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
@@ -210,7 +221,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return found.union(alone).withColumn("kept", kept)
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents without those that a document with a smaller id stands for."""
-    gone = near_duplicates(docs, doc_id, text).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = near_duplicates(docs, doc_id, text, percent).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti")

@@ -6,6 +6,7 @@ import html
 import re
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -82,6 +83,15 @@ def test_large_nodes_branch_and_fall_into_blocks(spark, monkeypatch):
     assert {r["component_id"] for r in found} == {0}
 
 
+def test_the_pipeline_links_at_four_fifths(spark):
+    w = [f"w{i}" for i in range(104)]
+    rows = [(1, " ".join(w)), (2, " ".join([*w[:94], *(f"x{i}" for i in range(10))]))]  # 90 of 110 shingles: 0.82
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()] == [1]
+    assert neardup.keep_one(docs).count() == 2
+    assert (neardup.trees(85), neardup.trees(80)) == (6, 8)
+
+
 @pytest.mark.parametrize(("query", "window", "size"), [("op8_substring_dedup", 13, "n_words"), ("op5_suffix_array_dedup", 50, "n_bytes")])
 def test_removed_windows_are_those_of_brute_force(spark, sf_dir, texts, query, window, size):
     cut = (lambda t: tuple(w.encode() for w in words(t))) if window == 13 else (lambda t: t.encode())
