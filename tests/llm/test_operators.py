@@ -229,7 +229,8 @@ def test_alike_lines_go_but_the_first(spark):
 def test_lines_alike_by_brute_force_are_found(spark):
     rng = np.random.default_rng(11)
     vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 9))) for _ in range(3000)]
-    lines = ["page number 12", "page number 13", "wonderful", "wonderfull day", "wonderful day"]
+    lines = ["page number 12", "page number 13", "wonderful", "wonderfull", "wonderfull day", "wonderful day"]
+    lines += ["ninety nine letters", "ninety nine letters a", "eightteen of them!", "eightteen of them it"]  # 19, 21, 17, 20
     for n in [*range(5, 61)] * 4:
         w = list(rng.choice(vocabulary, n))
         lines.append(" ".join(w))
@@ -250,6 +251,7 @@ def test_lines_alike_by_brute_force_are_found(spark):
         roots.join(r["a"], r["b"])
     expected = {d for d in list(roots) if roots.of(d) != d}
     gone = {r["doc_id"] for r in linedup.dedup_lines(docs).filter("n_removed > 0").collect()}
+    assert {1, 3, 5} <= gone  # 3: lines of 9 and 10 characters
     assert len(expected) > 500 and gone <= expected and len(gone) >= 0.99 * len(expected)
 
 
