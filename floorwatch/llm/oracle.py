@@ -54,6 +54,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM j
 """
 
+#: crc32 of a decimal number, bit by bit; ids of conversations are few here.
+_CRC = """xor(list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda crc, byte:
+  list_reduce(range(8), lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, xor(crc, byte)),
+  4294967295), 4294967295)"""
+
+_TRIE = f"""
+WITH t AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT c, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role) AS turns FROM t GROUP BY c
+), h AS (
+  SELECT c, turns, {_CRC} % 9 AS h FROM o
+), r AS (
+  SELECT a.c AS c, list_concat(coalesce(b.turns[:a.h], []), a.turns[a.h + 1:]) AS turns
+  FROM h a LEFT JOIN h b ON b.c = a.c - a.c % 5
+), m AS (
+  SELECT c, d, turns[:d] AS path, len(turns) = d AS ends
+  FROM (SELECT c, turns, unnest(generate_series(0, len(turns))) AS d FROM r)
+), n AS (
+  SELECT path, d, min(c) AS c, count(*) AS n, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ends,
+    (count(*) - 1) * strlen(coalesce(path[d].text, '')) AS saved
+  FROM m GROUP BY path, d
+), k AS (
+  SELECT p.path, count(x.path) AS children FROM n p LEFT JOIN n x ON x.d = p.d + 1 AND x.path[:p.d] = p.path GROUP BY p.path
+), s AS (
+  SELECT p.path, sum(x.saved) AS saved, count(*) FILTER (k.children = 0) AS leaves
+  FROM n p JOIN n x ON x.d >= p.d AND x.path[:p.d] = p.path JOIN k ON k.path = x.path GROUP BY p.path
+)
+SELECT n.c AS conv_id, n.d AS depth, up.c AS parent_conv_id, n.n AS n_convs, k.children AS n_children, s.leaves AS n_leaves,
+  s.saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN k ON k.path = n.path JOIN s ON s.path = n.path LEFT JOIN n up ON up.d = n.d - 1 AND up.path = n.path[:n.d - 1]
+"""
+
 ORACLE = {
     "op10_quality_rules": _QUALITY,
+    "op13_conversation_prefix_trie": _TRIE,
 }

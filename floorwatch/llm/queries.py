@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floorwatch.llm import contamination, extraction, linedup, neardup, packing, quality, suffixes, superkmers, tokens, toxicity
+from floorwatch.llm import contamination, extraction, linedup, neardup, packing, prefixtrie, quality, suffixes, superkmers, tokens, toxicity
 from floorwatch.llm.tables import read
 
 
@@ -70,6 +70,10 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_html_extraction": op2_html_extraction,
@@ -81,4 +85,5 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
 }
