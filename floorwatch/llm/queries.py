@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floorwatch.llm import bytesim, contamination, extraction, linedup, neardup, packing, prefixtrie, quality, suffixes, superkmers, tokens, toxicity
+from floorwatch.llm import alignment, bytesim, contamination, extraction, linedup, neardup, packing, prefixtrie, quality, suffixes, superkmers, tokens, toxicity
 from floorwatch.llm.tables import read
 
 
@@ -70,6 +70,10 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(read(spark, sf_dir, "documents"))
+
+
 def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bytesim.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -90,6 +94,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
     "op12_simhash_near_dedup": op12_simhash_near_dedup,
     "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
 }
