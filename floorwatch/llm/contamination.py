@@ -102,15 +102,24 @@ def blocks_of(
 
 
 def scan(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
-    """docs with n_words, n_hit, items (sorted ids) and spans, the hit words' bytes in the original UTF-8 text."""
+    """docs with n_words, n_hit, items (sorted ids) and spans, the hit words' bytes in the original UTF-8 text.
+
+    A column of docs that has one of these names is replaced.
+    """
+    added = ("n_words", "n_hit", "items", "spans")
+    row = [F.col(f"`{c}`") for c in docs.columns if c not in added]
+    carried = docs.select(F.struct(*row).alias("row"), F.col(f"`{text}`").alias("text"))
+    kind = carried.schema["row"].dataType.simpleString()
+    found = _scanned(carried, f"row {kind}, n_words long, n_hit long, items array<string>, spans {SPANS}", items, window)
+    return found.select("row.*", *added)
+
+
+def _scanned(docs: DataFrame, schema: str, items: DataFrame, window: int) -> DataFrame:
     blocks = blocks_of(docs.sparkSession, items)
-    columns = docs.columns
-    added = f"n_words long, n_hit long, items array<string>, spans {SPANS}"
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", " + added
 
     def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, text):
-            words = words_of(batch.column(text), ALNUM)
+        for batch in chunks(batches):
+            words = words_of(batch.column("text"), ALNUM)
             data = words.data.tobytes().translate(_TABLE)
             found = [(set(), []) for _ in range(batch.num_rows)]
             for name, block in blocks:
@@ -145,19 +154,21 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WI
                         for a, b in zip(edges[::2], edges[1::2], strict=True)
                     ]
                 )
-            pieces = [batch.column(c) for c in columns]
-            pieces += [
+            pieces = [
+                batch.column("row"),
                 pa.array(words.counts, pa.int64()),
                 pa.array(n_hit, pa.int64()),
                 pa.array(ids, pa.list_(pa.string())),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
             ]
-            yield pa.RecordBatch.from_arrays(pieces, names=[*columns, "n_words", "n_hit", "items", "spans"])
+            yield pa.RecordBatch.from_arrays(pieces, names=["row", "n_words", "n_hit", "items", "spans"])
 
     return docs.mapInArrow(results, schema)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """The documents without any hit, as they are."""
-    mine = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    return scan(mine, items).filter("n_hit = 0").select("row.*")
+def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+    """The documents without any hit, as they are, whatever their columns' names."""
+    carried = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("text"))
+    kind = carried.schema["row"].dataType.simpleString()
+    found = _scanned(carried, f"row {kind}, n_words long, n_hit long, items array<string>, spans {SPANS}", items, window)
+    return found.filter("n_hit = 0").select("row.*")

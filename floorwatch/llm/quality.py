@@ -20,6 +20,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from floorwatch.llm.tables import keep
+
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 LOST_PERCENT = 30
@@ -193,9 +195,16 @@ def assess(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def keep_good(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
-    """The kept documents with their failed lines taken out; the other columns as they are, n_chars counted anew."""
+    """The kept documents with their failed lines taken out; the other columns as they are, n_chars counted anew.
+
+    The verdicts are a table before they are filtered: a filter on them would be pushed below the projections and then
+    repeat all of the work above it.
+    """
     columns = docs.columns
-    out = assess(docs, text).filter("quality.kept").withColumn(text, F.col("quality.clean_text"))
-    if n_chars in columns:
-        out = out.withColumn(n_chars, F.char_length(text).cast("long"))
-    return out.select(columns)
+    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), F.col(f"`{text}`").alias("text"))
+    judged = keep(
+        assess(named).select("row", F.col("quality.kept").alias("kept"), F.col("quality.clean_text").alias("clean")), "judged"
+    )
+    clean = F.col("clean")
+    changed = {text: clean} | ({n_chars: F.char_length(clean).cast("long")} if n_chars in columns else {})
+    return judged.filter("kept").select(*(changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns))
