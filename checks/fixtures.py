@@ -17,7 +17,7 @@ from floorwatch.functions.dates import week_columns
 from floorwatch.plans.channel import Floors
 from floorwatch.plans.channels import DCOMM, HABA, HSM, MINIS
 from floorwatch.sources.files import write_named
-from floorwatch.sources.shared import fresh_path
+from floorwatch.sources.shared import fresh_path, write_small
 
 PERIODS = (Period("P1", None, 199721), Period("P2", 199721, 199906))
 CAP = 60000.0
@@ -380,16 +380,30 @@ DRIFT = (
 )
 
 
+def _write_drifting(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    base = event_scrapes(spark, sf_dir)
+    for first, last, columns in DRIFT:
+        days = base.filter(F.dayofmonth("day").between(first, last))
+        write_named(_day_file(_rows(days, f"day|{columns}")), folder, "file")
+
+
 def drift_folder(spark: SparkSession, sf_dir: str) -> str:
     """All events by day, in five schemas."""
-    base = event_scrapes(spark, sf_dir)
+    return _stage(spark, sf_dir, "drift", lambda folder: _write_drifting(spark, sf_dir, folder))
+
+
+BROKEN = {"SHOP2_240118.parquet": "no parquet at all", "SHOP3_240231.parquet": "PAR1"}
+
+
+def broken_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The same files, and two that nobody can read."""
 
     def write(folder: str) -> None:
-        for first, last, columns in DRIFT:
-            days = base.filter(F.dayofmonth("day").between(first, last))
-            write_named(_day_file(_rows(days, f"day|{columns}")), folder, "file")
+        _write_drifting(spark, sf_dir, folder)
+        for name, text in BROKEN.items():
+            write_small(spark, f"{folder}/{name}", text)
 
-    return _stage(spark, sf_dir, "drift", write)
+    return _stage(spark, sf_dir, "broken", write)
 
 
 # --- an existing track and a new batch --------------------------------------

@@ -69,6 +69,26 @@ def scan_drift_window(spark, sf_dir):
     ).select("date", "location", "plu", "finalPrice")
 
 
+@query
+def scan_with_broken_file(spark, sf_dir):
+    return drift.scan_scrapes(
+        spark,
+        fx.broken_folder(spark, sf_dir),
+        "SHOP",
+        fx.FILE_REGEX,
+        renames=(("concat", "combinedProductName"),),
+    ).rows
+
+
+@query
+def unreadable_files(spark, sf_dir):
+    """The quarantine beside the files that can be read."""
+    found = drift.inspect(files.list_files(spark, fx.broken_folder(spark, sf_dir), fx.FILE_REGEX))
+    readable = found.columns.select("label", "day").distinct().withColumn("readable", F.lit(True))
+    broken = found.unreadable.select("label", "day", F.col("error").isNull().alias("readable"))
+    return readable.unionByName(broken)
+
+
 @query
 def cast_ints(spark, sf_dir):
     base = fx.event_scrapes(spark, sf_dir)
@@ -265,7 +285,7 @@ def drift_report(spark, sf_dir):
 
 @query
 def norm_report(spark, sf_dir):
-    folder = fx.drift_folder(spark, sf_dir)
+    folder = fx.broken_folder(spark, sf_dir)
     target = fresh_path(spark, "normalised")
     return normalise.normalise_folder(spark, folder, target, "SHOP", fx.FILE_REGEX).summary
 

@@ -53,7 +53,7 @@ def in_window(day: Column, start: dt.date | None, end: dt.date | None) -> Column
 
 
 def list_files(spark: SparkSession, folder: str, file_regex: str) -> DataFrame:
-    """(path, label, day) of every parquet file, from the listing alone."""
+    """(path, label, day) of every parquet file, from the listing alone. Files of zero bytes are not listed."""
     found = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")

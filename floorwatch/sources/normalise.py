@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from floorwatch.functions.text import has_sold_words, is_fraction, sold_count, to_price, to_whole
 from floorwatch.operators.joins import dim_join
-from floorwatch.sources.drift import footers, layout_groups, newest_file
+from floorwatch.sources.drift import inspect, layout_groups, newest_file
 from floorwatch.sources.files import list_files, read_folder, scanned_label, write_named
 
 # --- Fixed values -----------------------------------------------------------
@@ -51,7 +51,7 @@ SOLD_WORDS_RETAILER = "LAZADA"
 @dataclass(frozen=True)
 class Normalised:
     report: DataFrame
-    """label, status ('fixed' or 'ok'), fractions (whole-number cells set to NULL)."""
+    """label, status ('fixed', 'ok' or 'error'), fractions (whole-number cells set to NULL), error."""
     summary: DataFrame
     """status, files; with a 'total' row."""
 
@@ -136,12 +136,19 @@ def normalise_folder(
 ) -> Normalised | None:
     """Write every file of ``folder``, repaired, under the same name into ``target``.
 
-    The source folder is never changed. None when it has no files.
+    The source folder is never changed. Files that cannot be read are reported
+    with their error, and the others are written all the same. None when the
+    folder has no files.
     """
-    files = list_files(spark, folder, file_regex)
-    newest = newest_file(files)
-    if newest is None:
+    found = inspect(list_files(spark, folder, file_regex))
+    newest = newest_file(found.columns)
+    if newest is None and found.unreadable.isEmpty():
         return None
+    broken = found.unreadable.groupBy("label").agg(F.min("error").alias("error")).select(
+        "label", F.lit("error").alias("status"), F.lit(0).cast("bigint").alias("fractions"), "error"
+    )
+    if newest is None:
+        return Normalised(broken, count_statuses(broken))
     if retailer == OLD_LAYOUT_RETAILER:
         canonical = list(OLD_LAYOUT_COLUMNS)
     else:
@@ -149,7 +156,7 @@ def normalise_folder(
 
     lost: DataFrame | None = None
     migrated: DataFrame | None = None
-    for layout, paths in layout_groups(files):
+    for layout, paths in layout_groups(found.columns):
         names = [part["column"] for part in json.loads(layout)]
         df = read_folder(spark, *paths).select("*", scanned_label().alias("_file"))
         pieces = []
@@ -177,7 +184,7 @@ def normalise_folder(
         losses = _fractions(df)
         lost = losses if lost is None else lost.unionByName(losses)
 
-    report = drift_report(footers(files), canonical).select("label", "needs_fix")
+    report = drift_report(found.columns, canonical).select("label", "needs_fix")
     if migrated is not None:
         seen = migrated.select(F.col("_file").alias("label"), F.lit(True).alias("special")).distinct()
         report = report.join(seen, "label", "left")
@@ -189,7 +196,9 @@ def normalise_folder(
         "label",
         F.when(fixed, "fixed").otherwise("ok").alias("status"),
         F.coalesce("fractions", F.lit(0)).alias("fractions"),
+        F.lit(None).cast("string").alias("error"),
     )
+    report = report.unionByName(broken)
     return Normalised(report, count_statuses(report))
 
 

@@ -154,3 +154,63 @@ def test_sheets(spark, tmp_path):
     assert rows(sheets.read_sheet(spark, path)) == rows(sheet)
     both = sheets.sheet_mappings({"A": sheet, "B": sheet.withColumn("Status", F.lit("Top 58"))})
     assert rows(sheets.mapping_of(both, "B").select("Status")) == [("Top 58",)]
+
+
+@pytest.fixture()
+def with_broken(folder):
+    """The same folder with garbage on a day of its own, a cut-off file, and half a day written in parts."""
+    for name, content in (("SHOP2_250103.parquet", b"garbage"), ("SHOP3_250101.parquet", b"PAR1")):
+        with open(os.path.join(folder, name), "wb") as file:
+            file.write(content)
+    put(os.path.join(folder, "SHOP4_250102.parquet"), "part-0.parquet", productName=["half"], finalPrice=[9.0])
+    with open(os.path.join(folder, "SHOP4_250102.parquet", "part-1.parquet"), "wb") as file:
+        file.write(b"gone")
+    return folder
+
+
+def test_broken_files_are_set_aside_and_the_others_read(spark, with_broken):
+    scan = drift.scan_scrapes(spark, with_broken, "Shop", REGEX)
+    assert {r["label"] for r in scan.unreadable.collect()} == {
+        "SHOP2_250103.parquet", "SHOP3_250101.parquet", "SHOP4_250102.parquet"
+    }
+    assert all("Arrow" in r["error"] for r in scan.unreadable.collect())
+    assert scan.rows.count() == 8 and scan.rows.filter("productName = 'half'").isEmpty()
+
+
+def test_a_window_sees_its_own_broken_files(spark, with_broken):
+    scan = drift.scan_scrapes(spark, with_broken, "Shop", REGEX, start=D(2025, 1, 3), end=D(2025, 1, 5))
+    assert [r["label"] for r in scan.unreadable.collect()] == ["SHOP2_250103.parquet"]
+    assert scan.rows.count() == 2
+    clean = drift.scan_scrapes(spark, with_broken, "Shop", REGEX, start=D(2025, 1, 4))
+    assert clean.unreadable.isEmpty() and clean.rows.count() == 2
+
+
+def test_strict_loading_names_the_broken_file(spark, with_broken):
+    with pytest.raises(drift.UnreadableFiles, match="SHOP2_250103.parquet: ArrowInvalid"):
+        drift.load_scrapes(spark, with_broken, "Shop", REGEX, start=D(2025, 1, 3), end=D(2025, 1, 3))
+
+
+def test_only_broken_files(spark, tmp_path):
+    path = str(tmp_path / "in")
+    os.makedirs(path)
+    with open(os.path.join(path, "S_250101.parquet"), "wb") as file:
+        file.write(b"nothing")
+    assert drift.scan_scrapes(spark, path, "S", r"S_(\d{6})").rows is None
+    _, report, result = normalised(spark, tmp_path, "SUPERINDO")
+    assert report == {"S_250101.parquet": ("error", 0)}
+    assert rows(result.summary) == [("error", 1), ("total", 1)]
+
+
+def test_normalising_goes_on_behind_a_broken_file(spark, tmp_path):
+    path = str(tmp_path / "in")
+    put(path, "S_250101.parquet", concat=["c"], finalPrice=["9"])
+    put(path, "S_250102.parquet", combinedProductName=["d"], finalPrice=[1.0])
+    with open(os.path.join(path, "S_250103.parquet"), "wb") as file:
+        file.write(b"nothing")
+    target, report, result = normalised(spark, tmp_path, "SUPERINDO")
+    assert {k: v[0] for k, v in report.items()} == {
+        "S_250101.parquet": "fixed", "S_250102.parquet": "ok", "S_250103.parquet": "error"
+    }
+    assert rows(result.summary) == [("error", 1), ("fixed", 1), ("ok", 1), ("total", 3)]
+    assert result.report.filter("error IS NOT NULL").select("label").first()[0] == "S_250103.parquet"
+    assert drift.load_scrapes(spark, target, "S", r"S_(\d{6})").count() == 2
