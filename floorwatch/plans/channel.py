@@ -27,7 +27,7 @@ from floorwatch.operators.packs import (
     raw_rows,
     without_packs,
 )
-from floorwatch.operators.track import final_rows, last_dates, track_columns, union_tracks
+from floorwatch.operators.track import final_rows, track_columns, union_tracks
 from floorwatch.operators.windows import resolve_windows, windows_frame
 from floorwatch.sources.drift import load_scrapes
 from floorwatch.sources.shared import materialise
@@ -201,16 +201,18 @@ def build_channel(
 def channel_windows(
     spark: SparkSession,
     config: ChannelConfig,
-    track: DataFrame | None,
+    history: DataFrame | None,
     from_date: dt.date | None,
     to_date: dt.date | None,
     today: dt.date,
 ) -> dict[str, tuple[dt.date | None, dt.date | None]]:
-    """Window per lower-case account; one row per account comes to the driver."""
+    """Window per lower-case account; one row per account comes to the driver.
+
+    ``history`` is (account, max_date) of the track, None without one.
+    """
     accounts = spark.createDataFrame(
         [(r.account,) for r in config.retailers if r.account], "account string"
     )
-    history = last_dates(track) if track is not None else None
     rows = resolve_windows(accounts, history, from_date, to_date or today).collect()
     return {r["account"]: (r["start"], r["end"]) for r in rows}
 
@@ -240,7 +242,7 @@ def run_channel(
     if full_refresh:
         windows = {r.account.lower(): (None, None) for r in config.retailers}
     else:
-        windows = channel_windows(spark, config, store.read(), from_date, to_date, today)
+        windows = channel_windows(spark, config, store.last_dates(), from_date, to_date, today)
 
     scrapes = {}
     for retailer in config.retailers:

@@ -51,7 +51,11 @@ def read_small(spark: SparkSession, path: str) -> str | None:
     fs, where = file_system(spark, path)
     if not fs.exists(where):
         return None
-    return spark.read.text(path, wholetext=True).first()["value"]
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
 def write_small(spark: SparkSession, path: str, text: str) -> None:

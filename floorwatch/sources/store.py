@@ -1,34 +1,29 @@
 """Sinks: dated snapshots and the price track.
 
-A price track folder holds versions and a small pointer file that names the
-current one. A full replacement writes a new version and then switches the
-pointer, so a failed write leaves the old version readable. A merge rewrites
-only the (account, date) partitions that its windows or its new rows touch:
-the new state of those partitions is written aside and marked ready before the
-first of them is put in place, and a merge that was cut short is completed by
-the next call.
+A price track is a folder partitioned by (account, date). A merge replaces only the partitions that its windows or
+its new rows touch, by the engine's dynamic partition overwrite; what is to be written is always a table of its own
+first, so a merge that fails before its last step has changed nothing, and one that fails in it is put right by
+running it again. Partitions that a merge leaves without rows are dropped.
+
+Readers of a track see each partition change as the engine commits it, as with any overwritten folder.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from functools import reduce
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from floorwatch.operators.joins import dim_join
-from floorwatch.operators.track import observed_rows
+from floorwatch.operators.track import last_dates, observed_rows
 from floorwatch.operators.windows import clear_windows
 from floorwatch.sources.shared import file_system, materialise, read_small, write_small
 
 PARTITIONS = ("account", "date")
-POINTER = "CURRENT"
-PENDING = "_pending"
-READY = "READY"
+SCHEMA_FILE = "_schema"
+"""Columns and types of the folder, for readers without the table; an underscore hides it from scans."""
 
 
 def arrange(df: DataFrame) -> DataFrame:
@@ -85,42 +80,57 @@ def table_or_parquet(
     return read_partitioned(spark, path, schema) if fs.exists(where) else None
 
 
+def table_partitions(spark: SparkSession, table: str) -> DataFrame:
+    """Distinct (account, date, folder) of a partitioned table, from the catalog's names."""
+    names = spark.sql(f"SHOW PARTITIONS {table}").select(F.col("partition").alias("folder"))
+
+    def value(name: str):
+        text = F.regexp_extract("folder", f"(?:^|/){name}=([^/]*)", 1)
+        plain = F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+        return F.when(plain != "__HIVE_DEFAULT_PARTITION__", plain)
+
+    return names.select(value("account").alias("account"), value("date").cast("date").alias("date"), "folder")
+
+
 class TrackStore:
-    """A folder holding one price track, and the table that shows it."""
+    """A folder holding one price track, and the table that shows it.
+
+    A table of that name that lies elsewhere is used as it is: it is read, merged into and replaced, never re-created.
+    """
 
     def __init__(self, spark: SparkSession, base: str, table: str | None = None):
         self.spark, self.base, self.table = spark, base.rstrip("/"), table
 
-    def _pointer(self) -> dict | None:
-        text = read_small(self.spark, f"{self.base}/{POINTER}")
-        return json.loads(text) if text else None
+    def _stored_schema(self) -> T.StructType | None:
+        text = read_small(self.spark, f"{self.base}/{SCHEMA_FILE}")
+        return T.StructType.fromJson(json.loads(text)) if text else None
+
+    def _elsewhere(self) -> bool:
+        """Does the table exist without this folder being its own?"""
+        known = self.table and self.spark.catalog.tableExists(self.table)
+        return bool(known) and self._stored_schema() is None
 
     def read(self) -> DataFrame | None:
-        """Table first, then the current version, else None."""
-        self.recover()
-        now = self._pointer()
-        if now is None:
-            known = self.table and self.spark.catalog.tableExists(self.table)
-            return self.spark.table(self.table) if known else None
-        return table_or_parquet(
-            self.spark, self.table, f"{self.base}/{now['version']}", _schema_of(now)
-        )
-
-    def _switch(self, pointer: dict) -> None:
-        write_small(self.spark, f"{self.base}/{POINTER}", json.dumps(pointer))
-        if not self.table:
-            return
-        # The table is external: dropping its entry leaves the files alone.
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-        columns = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}" for f in _schema_of(pointer).fields
-        )
-        self.spark.sql(
-            f"CREATE TABLE {self.table} ({columns}) USING parquet "
-            f"PARTITIONED BY ({', '.join(PARTITIONS)}) "
-            f"LOCATION '{self.base}/{pointer['version']}'"
-        )
-        self.spark.catalog.recoverPartitions(self.table)
+        """Table first, then the folder, else None."""
+        if self.table and self.spark.catalog.tableExists(self.table):
+            return self.spark.table(self.table)
+        schema = self._stored_schema()
+        return None if schema is None else read_partitioned(self.spark, self.base, schema)
+
+    def partitions(self) -> DataFrame | None:
+        """(account, date, folder) of what is stored, without opening a file; None if names do not tell."""
+        if self._elsewhere():
+            own = [c.name for c in self.spark.catalog.listColumns(self.table) if c.isPartition]
+            return table_partitions(self.spark, self.table) if own == list(PARTITIONS) else None
+        return None if self._stored_schema() is None else stored_partitions(self.spark, self.base)
+
+    def last_dates(self) -> DataFrame | None:
+        """(account, max_date) per lower-case account; None where there is no track yet."""
+        names = self.partitions()
+        if names is None:
+            track = self.read()
+            return None if track is None else last_dates(track)
+        return last_dates(names)
 
     def save(
         self,
@@ -140,112 +150,120 @@ class TrackStore:
             raise ValueError(f"Unknown save mode: {mode}")
 
     def replace(self, df: DataFrame) -> int:
-        """A new version with exactly the rows of ``df``; returns how many."""
-        name = f"version-{uuid4().hex}"
-        version = f"{self.base}/{name}"
-        counted, watch = observed_rows(df, name)
-        arrange(counted).write.partitionBy(*PARTITIONS).parquet(version)
-        rows = watch.get["rows"]
-        stored = read_partitioned(self.spark, version, df.schema).count()
-        if stored != rows:
-            raise OSError(f"{version} holds {stored} rows instead of {rows}")
-        self._switch({"version": name, "schema": df.schema.json()})
-        return rows
+        """Exactly the rows of ``df``; returns how many."""
+        counted, watch = observed_rows(df, f"rows of {self.base}")
+        state = materialise(counted, "track")
+        if self._elsewhere():
+            state.select(self.spark.table(self.table).columns).write.mode("overwrite").insertInto(self.table)
+        else:
+            self._write(state, "static")
+            self._publish(df.schema)
+        return watch.get["rows"]
 
     def merge(self, new: DataFrame, windows: DataFrame, distinct: bool = False) -> None:
         """Replace the windows by ``new``; partitions outside stay as they are, untouched."""
-        self.recover()
-        now = self._pointer()
-        if not distinct:
-            new = new.dropDuplicates()
-        if now is None:
-            known = self.read()
-            if known is None:
-                self.replace(new)
-            else:
-                self._merge_into_table(known, new, windows)
+        existing = self.read()
+        if existing is None:
+            self.replace(new if distinct else new.dropDuplicates())
             return
-        aside = f"{self.base}/{PENDING}"
-        fs, where = file_system(self.spark, aside)
-        fs.delete(where, True)
-        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
-
-        schema = merged_schema(_schema_of(now), new.schema)
-        incoming_path = f"{self.base}/_incoming-{uuid4().hex}"
-        arrange(new).write.partitionBy(*PARTITIONS).parquet(incoming_path)
-        current = f"{self.base}/{now['version']}"
-        touched = touched_in(self.spark, incoming_path)
-        stored = stored_partitions(self.spark, current)
-        outside = clear_windows(stored, windows).cache()
-
-        # Old rows matter only where new rows arrive outside every window.
-        both = outside.join(touched, list(PARTITIONS), "left_semi").select(*PARTITIONS)
-        spans = both.groupBy("account").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-        reach = [
-            (F.col("account") == s["account"]) & F.col("date").between(s["lo"], s["hi"])
-            for s in spans.collect()  # one row per account
-        ]
-        if reach:
-            existing = read_partitioned(self.spark, current, schema)
-            incoming = read_partitioned(self.spark, incoming_path, schema)
-            kept = existing.filter(reduce(lambda a, b: a | b, reach))
-            kept = dim_join(kept, both, [(c, c) for c in PARTITIONS], how="left_semi")
-            state = kept.unionByName(incoming).dropDuplicates()
-            arrange(state).write.partitionBy(*PARTITIONS).parquet(aside)
-            fs.delete(path_of(incoming_path), True)
-        elif not fs.rename(path_of(incoming_path), where):
-            raise OSError(f"Cannot put {aside} in place")
-
-        gone = stored.join(outside, "folder", "left_anti").join(
-            touched_in(self.spark, aside), list(PARTITIONS), "left_anti"
-        )
-        ready = {
-            # Names of emptied partitions: as many as the windows have days.
-            "emptied": [r["folder"] for r in gone.select("folder").collect()],
-            "pointer": {"version": now["version"], "schema": schema.json()},
-        }
-        outside.unpersist()
-        write_small(self.spark, f"{aside}/{READY}", json.dumps(ready))
-        self.recover()
-
-    def _merge_into_table(self, known: DataFrame, new: DataFrame, windows: DataFrame) -> None:
-        """Merge with a table that was made elsewhere: its entry stays, only its rows are overwritten."""
-        if set(new.columns) != set(known.columns):
-            raise ValueError(f"{self.table} has other columns: {known.columns}")
-        state = clear_windows(known, windows).unionByName(new).dropDuplicates()
-        # written aside first, since a table cannot be read while it is overwritten
-        state = materialise(state.select(known.columns), "merged-table")
-        state.write.mode("overwrite").insertInto(self.table)
-
-    def recover(self) -> None:
-        """Put a merge that is marked ready in place; does nothing otherwise."""
-        aside = f"{self.base}/{PENDING}"
-        text = read_small(self.spark, f"{aside}/{READY}")
-        if text is None:
+        elsewhere = self._elsewhere()
+        if elsewhere and set(new.columns) != set(existing.columns):
+            raise ValueError(f"{self.table} has other columns: {existing.columns}")
+        schema = merged_schema(existing.schema if elsewhere else self._stored_schema(), new.schema)
+        names = self.partitions()
+        if names is None:  # partitioned in another way: only as a whole
+            state = clear_windows(existing, windows).unionByName(new).dropDuplicates()
+            state = materialise(state.select(existing.columns), "track")
+            state.write.mode("overwrite").insertInto(self.table)
+            return
+        incoming = materialise(new if distinct else new.dropDuplicates(), "incoming")
+        touched = materialise(incoming.select(*PARTITIONS).distinct(), "touched")
+        stored = materialise(names, "stored")
+        outside = clear_windows(stored, windows)
+        state = self._with_kept(existing, incoming, outside, touched)
+        same = [stored[c].eqNullSafe(touched[c]) for c in PARTITIONS]
+        gone = stored.join(outside.select("folder"), "folder", "left_anti").join(touched, same, "left_anti")
+        # Names of emptied partitions: as many as the windows have days.
+        emptied = [(r["account"], r["date"], r["folder"]) for r in gone.collect()]
+        if elsewhere:
+            setting = "spark.sql.sources.partitionOverwriteMode"
+            before = self.spark.conf.get(setting)
+            self.spark.conf.set(setting, "dynamic")
+            try:
+                state.select(existing.columns).write.mode("overwrite").insertInto(self.table)
+            finally:
+                self.spark.conf.set(setting, before)
+        else:
+            self._write(state, "dynamic")
+        self._drop(emptied, elsewhere)
+        if not elsewhere:
+            self._publish(schema)
+
+    def _with_kept(
+        self, existing: DataFrame, incoming: DataFrame, outside: DataFrame, touched: DataFrame
+    ) -> DataFrame:
+        """New state of the touched partitions: old rows matter only where new ones arrive outside every window.
+
+        The old rows are joined with the partitions in question, so the scan prunes by them however many there are.
+        """
+        same = [outside[c].eqNullSafe(touched[c]) for c in PARTITIONS]
+        both = materialise(outside.join(touched, same, "left_semi").select(*PARTITIONS), "both")
+        if both.isEmpty():
+            return incoming
+        asked = both.filter(F.col("date") >= F.lit("0001-01-01").cast("date"))
+        kept = existing.join(asked, list(PARTITIONS), "left_semi")
+        unnamed = F.col("account").isNull() | F.col("date").isNull()
+        if not both.filter(unnamed).isEmpty():
+            kept = kept.unionByName(existing.filter(unnamed))
+        state = kept.unionByName(incoming, allowMissingColumns=True).dropDuplicates()
+        return materialise(state, "track")
+
+    def _write(self, df: DataFrame, overwrite: str) -> None:
+        writer = arrange(df).write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+        writer.partitionBy(*PARTITIONS).parquet(self.base)
+
+    def _drop(self, emptied: list[tuple], elsewhere: bool) -> None:
+        if not emptied:
             return
-        ready = json.loads(text)
-        current = f"{self.base}/{ready['pointer']['version']}"
+        if elsewhere:
+            default = "__HIVE_DEFAULT_PARTITION__"
+            specs = [
+                "PARTITION (" + ", ".join(f"`{c}` = '{_quoted(str(v or default))}'" for c, v in zip(PARTITIONS, row)) + ")"
+                for row in emptied
+            ]
+            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {', '.join(specs)}")
+            return
+        fs, _ = file_system(self.spark, self.base)
         path_of = self.spark._jvm.org.apache.hadoop.fs.Path
-        fs, where = file_system(self.spark, aside)
-        for folder in ready["emptied"]:
-            fs.delete(path_of(f"{current}/{folder}"), True)
-        for account in fs.listStatus(where):
-            if not account.isDirectory():
-                continue
-            for day in fs.listStatus(account.getPath()):
-                name = f"{account.getPath().getName()}/{day.getPath().getName()}"
-                target = path_of(f"{current}/{name}")
-                fs.mkdirs(target.getParent())
-                fs.delete(target, True)
-                if not fs.rename(day.getPath(), target):
-                    raise OSError(f"Cannot put {target} in place")
-        self._switch(ready["pointer"])
-        fs.delete(where, True)
-        self.spark.catalog.refreshByPath(current)
-
-
-def touched_in(spark: SparkSession, path: str) -> DataFrame:
-    return stored_partitions(spark, path).select(*PARTITIONS)
+        for _, _, folder in emptied:
+            fs.delete(path_of(f"{self.base}/{folder}"), True)
+
+    def _publish(self, schema: T.StructType) -> None:
+        """Note the columns, and bring the table's entry up to the folder."""
+        write_small(self.spark, f"{self.base}/{SCHEMA_FILE}", schema.json())
+        if self.table:
+            known = self.spark.catalog.tableExists(self.table)
+            if known and _kinds(self.spark.table(self.table).schema) != _kinds(schema):
+                # The table is external: dropping its entry leaves the files alone.
+                self.spark.sql(f"DROP TABLE {self.table}")
+                known = False
+            if not known:
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+                self.spark.sql(
+                    f"CREATE TABLE {self.table} ({columns}) USING parquet "
+                    f"PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{self.base}'"
+                )
+            self.spark.sql(f"MSCK REPAIR TABLE {self.table} SYNC PARTITIONS")
+            self.spark.catalog.refreshTable(self.table)
+        self.spark.catalog.refreshByPath(self.base)
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _kinds(schema: T.StructType) -> set[tuple[str, str]]:
+    return {(f.name, f.dataType.simpleString()) for f in schema.fields}
 
 
 def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
@@ -259,7 +277,3 @@ def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
             )
     added = [T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in known]
     return T.StructType([*old.fields, *added])
-
-
-def _schema_of(pointer: dict) -> T.StructType:
-    return T.StructType.fromJson(json.loads(pointer["schema"]))
