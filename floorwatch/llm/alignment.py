@@ -1,8 +1,8 @@
 """Alignment of two tokenizers by diagonal run skipping, and how common each linked pair of ids is.
 
 Both tokenizers cut the same bytes; offsets at which tokens of both end cut them into groups. Where tokens run one to one,
-the end offsets of both lie on a diagonal: ends_a[i] = ends_b[i + shift]. From a place at which both end, probes of one,
-then two, four, eight... entries compare the end arrays at the current shift and jump over the run. The first irregular
+the end offsets of both lie on a diagonal: ends_a[i] = ends_b[i + shift]. From a place at which both end, a probe of a
+few entries, then probes of twice, four times... as many compare the end arrays at the current shift and jump over the run. The first irregular
 group is resolved step by step, always on the side that ends first, and gives the new shift.
 
 1. Tasks encode and align whole texts, in chunks of about `CHUNK` bytes of text or one longer text. A chunk is one row: the results
@@ -40,14 +40,32 @@ A_NAME = "byte_bpe_50k"
 B_NAME = "piece_bpe_32k.model"
 #: Bytes of text of a chunk.
 CHUNK = 2 << 20
-#: Probes up to this width compare entry by entry, wider ones slices.
-STEPWISE = 8
+#: Entries of the first probe of a run, compared one by one; wider probes compare slices.
+PROBE = 32
 #: Links of a group that are listed before equal ids are put together.
 LISTED = 64
 
 _loaded: dict[str, object] = {}
 
 
+class Table:
+    """Bytes of all tokens of a vocabulary, one after the other."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = np.asarray([len(t) for t in tokens], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def ends(self, ids: np.ndarray, text: bytes) -> np.ndarray | None:
+        """Where each token ends in the text, None if the tokens do not give the text back."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        if not len(ids) or ends[-1] != len(text):
+            return None
+        at = np.arange(len(text)) + np.repeat(self.starts[ids] - (ends - sizes), sizes)
+        return ends if np.array_equal(self.data[at], np.frombuffer(text, dtype=np.uint8)) else None
+
+
 class ByteLevel:
     """Ids and token lengths by the byte-level vocabulary; special tokens in a text are plain text."""
 
@@ -60,11 +78,11 @@ class ByteLevel:
         self.tokens = [b""] * (max(ranks.values()) + 1)
         for token, number in ranks.items():
             self.tokens[number] = token
-        self.sizes = np.asarray([len(t) for t in self.tokens], dtype=np.int64)
+        self.table = Table(self.tokens)
 
     def encode(self, text: str) -> np.ndarray:
         try:
-            return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), dtype=np.int64)
+            return np.asarray(self.fast.encode_ordinary(text), dtype=np.int64)
         except BaseException as panic:  # its pattern engine gives up on some endless runs of one character
             if type(panic).__name__ != "PanicException":
                 raise
@@ -83,7 +101,7 @@ class Pieces:
             else self.model.id_to_piece(i).replace("▁", " ").encode()
             for i in numbers
         ]
-        self.sizes = np.asarray([len(t) for t in self.tokens], dtype=np.int64)
+        self.table = Table(self.tokens)
 
     def encode(self, text: str) -> np.ndarray:
         return np.asarray(self.model.encode(text, num_threads=1), dtype=np.int64)
@@ -98,32 +116,28 @@ def _load(kind: type, name: str):
 def cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every group how many A tokens and how many B tokens lie before its end; both arrays end alike."""
     a, b = ends_a.tolist(), ends_b.tolist()
-    n = len(a)
-    runs: list[tuple[int, int, int]] = []  # first A index of a run, its shift, its length
-    i = j = 0
+    n, m = len(a), len(b)
+    first: list[int] = []  # A index of each run or irregular group's last token, the shift there, and the run's length
+    shifts: list[int] = []
+    sizes: list[int] = []
+    i = shift = 0
     while i < n:
-        start, width = i, 1
-        limit = min(n - i, len(b) - j)
-        while True:  # probes at the shift j - i
-            if width <= STEPWISE:
-                stop = min(i + width, start + limit)
-                shift = j - i
-                while i < stop and a[i] == b[i + shift]:
-                    i += 1
-                j = i + shift
-                if i < stop or i - start == limit:
-                    break
-            else:
-                size = min(width, start + limit - i)
-                same = ends_a[i : i + size] == ends_b[j : j + size]
-                step = size if same.all() else int(same.argmin())
-                i, j = i + step, j + step
-                if step < size or i - start == limit:
-                    break
+        start, end = i, min(n, m - shift)
+        width = PROBE
+        stop = min(end, i + width)
+        while i < stop and a[i] == b[i + shift]:
+            i += 1
+        while i == stop < end:  # all alike so far: the next probe is twice as wide
             width *= 2
+            stop = min(end, i + width)
+            same = ends_a[i:stop] == ends_b[i + shift : stop + shift]
+            i = stop if same.all() else i + int(same.argmin())
         if i > start:
-            runs.append((start, j - i, i - start))
+            first.append(start)
+            shifts.append(shift)
+            sizes.append(i - start)
         if i < n:  # an irregular group
+            j = i + shift
             x, y = a[i], b[j]
             while x != y:
                 if x < y:
@@ -132,12 +146,15 @@ def cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray
                 else:
                     j += 1
                     y = b[j]
-            runs.append((i, j - i, 1))
-            i, j = i + 1, j + 1
-    table = np.asarray(runs, dtype=np.int64).reshape(-1, 3)
-    first = np.cumsum(table[:, 2]) - table[:, 2]
-    in_a = np.arange(table[:, 2].sum()) + np.repeat(table[:, 0] - first, table[:, 2]) + 1
-    return in_a, in_a + np.repeat(table[:, 1], table[:, 2])
+            shift = j - i
+            first.append(i)
+            shifts.append(shift)
+            sizes.append(1)
+            i += 1
+    size = np.asarray(sizes, dtype=np.int64)
+    own = np.asarray(first, dtype=np.int64) - (np.cumsum(size) - size)
+    in_a = np.arange(size.sum()) + np.repeat(own, size) + 1
+    return in_a, in_a + np.repeat(np.asarray(shifts, dtype=np.int64), size)
 
 
 _DIGITS = np.char.ljust(np.arange(100_000).astype("S5"), 5).view(np.uint8).reshape(-1, 5)
@@ -210,16 +227,16 @@ def align(docs: DataFrame, a_name: str = A_NAME, b_name: str = B_NAME) -> DataFr
             for value in batch.column("text"):
                 text = value.as_py() or ""
                 spaced = (" " + text).encode()
-                a = left.encode(" " + text) if text else ()
-                b = right.encode(text) if text else ()
-                given = text and all(b"".join(map(k.tokens.__getitem__, ids.tolist())) == spaced for k, ids in ((left, a), (right, b)))
-                if not given:
+                a = left.encode(" " + text) if text else np.zeros(0, dtype=np.int64)
+                b = right.encode(text) if text else a
+                ends_a, ends_b = left.table.ends(a, spaced), right.table.ends(b, spaced)
+                if ends_a is None or ends_b is None:
                     rows.append((0, 0, 0, 0))
                     hashes.append("")
                     pairs.append(np.zeros(0, dtype=np.int64))
                     times.append(pairs[-1])
                     continue
-                in_a, in_b = cuts(np.cumsum(left.sizes[a]), np.cumsum(right.sizes[b]))
+                in_a, in_b = cuts(ends_a, ends_b)
                 rows.append((len(a), len(b), len(in_a), int((np.diff(in_a, prepend=0) * np.diff(in_b, prepend=0)).sum())))
                 hashes.append(hashlib.sha256(written(a, b, in_a, in_b)).hexdigest())
                 for found, part in zip((pairs, times), linked_pairs(a, b, in_a, in_b), strict=True):

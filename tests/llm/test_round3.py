@@ -112,7 +112,7 @@ def test_cuts_are_the_common_ends(a, b):
     assert in_a.tolist() == (at_a + 1).tolist() and in_b.tolist() == (at_b + 1).tolist()
 
 
-@pytest.mark.parametrize("length", [1, 7, 8, 15, 16, 1000])
+@pytest.mark.parametrize("length", [1, 7, 31, 32, 33, 95, 96, 97, 1000])
 def test_long_runs_are_jumped(length):
     """A run, a group of two and one, and a run again."""
     a = np.arange(1, 2 * length + 3)
