@@ -9,6 +9,10 @@ from floorwatch.operators.floors import SKU
 from floorwatch.operators.joins import dim_join
 from floorwatch.operators.match import contains_pairs, distinct_names, mapping_columns
 
+# The two messages of the report.
+NO_MAPPING = "NO MAPPING IN {}"
+NOT_FOUND = "NOT FOUND IN {} STORE (None of the variants)"
+
 
 def week_rows(df: DataFrame, week: int, year: int) -> DataFrame:
     return df.filter((F.col("week") == week) & (F.col("year") == year))
@@ -24,7 +28,11 @@ def seen_pairs(
 
     Works on distinct names, so copies of a listing never travel.
     """
-    names = distinct_names(facts, product_col)
+    return pairs_of_names(distinct_names(facts, product_col), mapping, contains)
+
+
+def pairs_of_names(names: DataFrame, mapping: DataFrame, contains: bool = False) -> DataFrame:
+    """`seen_pairs` of names that are distinct already."""
     if contains:
         pairs = contains_pairs(names, mapping)
     else:
@@ -71,12 +79,16 @@ def gap_report(
     shop: str,
     product_col: str = "productName",
     contains: bool = False,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Gaps of one week, ordered; empty when every SKU is mapped and was seen.
 
     The names are counted per SKU before they meet the floors, so the report
-    joins one small row per SKU.
+    joins one small row per SKU. ``names`` are the distinct names of the week
+    where they are known; then ``facts`` is not read.
     """
+    if names is None:
+        names = distinct_names(week_rows(facts, week, year), product_col)
     asked = (
         week_rows(floors, week, year)
         .select(SKU, "week", "year", floor_col)
@@ -84,7 +96,7 @@ def gap_report(
     )
     mapped = mapping.select(F.col("SKUName").alias("_sku")).distinct()
     seen = (
-        seen_pairs(week_rows(facts, week, year), mapping, product_col, contains)
+        pairs_of_names(names, mapping, contains)
         .groupBy("SKUName")
         .agg(F.count("name").alias("found_count"))
     )
@@ -102,13 +114,9 @@ def gap_report(
             F.coalesce("found_count", F.lit(0)).alias("found_count"),
         )
     )
-    issue = (
-        F.when(F.col("mapping_count") == 0, f"NO MAPPING IN {shop}")
-        .when(F.col("found_count") == 0, f"NOT FOUND IN {shop} STORE (None of the variants)")
-        .otherwise("FOUND")
-    )
+    issue = F.when(F.col("mapping_count") == 0, NO_MAPPING.format(shop)).otherwise(NOT_FOUND.format(shop))
     return (
-        counted.withColumn("issue_type", issue)
-        .filter("mapping_count = 0 OR found_count = 0")
+        counted.filter("mapping_count = 0 OR found_count = 0")
+        .withColumn("issue_type", issue)
         .orderBy("issue_type", SKU)
     )

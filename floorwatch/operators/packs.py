@@ -81,10 +81,14 @@ def exclude_packs(
     return df.filter(~reduce(lambda a, b: a | b, hits))
 
 
+def speaks_of_promo(words: Sequence[str] = PROMO_WORDS) -> Column:
+    hint = F.lower("packHintText")
+    return reduce(lambda a, b: a | b, [hint.contains(w) for w in words])
+
+
 def drop_promos(df: DataFrame, words: Sequence[str] = PROMO_WORDS) -> DataFrame:
     """Drop hints that speak of a promotion; rows without a hint go too."""
-    hint = F.lower("packHintText")
-    return df.filter(~reduce(lambda a, b: a | b, [hint.contains(w) for w in words]))
+    return df.filter(~speaks_of_promo(words))
 
 
 def manual_rules(sheet: DataFrame) -> DataFrame:
@@ -155,12 +159,14 @@ def first_override_by_window(matches: DataFrame, sku_col: str = "SKUName") -> Da
     )
 
 
-def _coalesce_override(df: DataFrame) -> DataFrame:
+def _coalesce_override(df: DataFrame, hit: str | None = None) -> DataFrame:
     manual = F.col("manualMultiplier")
+    mark = {} if hit is None else {hit: manual.isNotNull()}
     return df.withColumns(
         {
             "Multiplier": F.coalesce(manual, F.col("Multiplier")),
             "derivedMultiplier": F.coalesce(manual, F.col("derivedMultiplier")),
+            **mark,
         }
     ).drop("manualMultiplier")
 
@@ -177,11 +183,13 @@ def override_rows(
     sku_col: str = "SKUName",
     spread: Column | None = None,
     fits: bool | None = None,
+    hit: str | None = None,
 ) -> DataFrame:
     """`override_matches`, `first_override` and `apply_overrides` in one join.
 
     A product name has one pack hint, so the rules can be reduced to one per
-    (account, SKU, hint) first and the rows need no grouping at all.
+    (account, SKU, hint) first and the rows need no grouping at all. ``hit``
+    names a column that tells which rows met a rule.
     """
     per_key = (
         _rule_keys(rules)
@@ -189,7 +197,7 @@ def override_rows(
         .agg(F.max(F.struct("_length", "ruleMultiplier"))["ruleMultiplier"].alias("manualMultiplier"))
     )
     joined = dim_join(_with_keys(df, sku_col), per_key, _KEYS, spread=spread, fits=fits)
-    return _coalesce_override(joined.drop("_fa", "_fs", "_fh"))
+    return _coalesce_override(joined.drop("_fa", "_fs", "_fh"), hit)
 
 
 def raw_rows(
@@ -201,6 +209,7 @@ def raw_rows(
     sku_col: str = "SKUName",
     spread: Column | None = None,
     rules_fit: bool | None = None,
+    hit: str | None = None,
 ) -> DataFrame:
     """Rows with multipliers and flag, before any price is divided.
 
@@ -211,9 +220,9 @@ def raw_rows(
         "belowBfp", below_raw(F.col(f"`{floor_col}`"), F.col("Multiplier"))
     )
     kept = exclude_packs(price_cap(flagged, cap), packs, sku_col)
-    return kept if rules is None else override_rows(
-        kept, rules, sku_col, spread, rules_fit
-    )
+    if rules is None:
+        return kept if hit is None else kept.withColumn(hit, F.lit(False))
+    return override_rows(kept, rules, sku_col, spread, rules_fit, hit)
 
 
 def processed_rows(
@@ -222,3 +231,27 @@ def processed_rows(
     """Unit prices, the flag set anew from them, promotions dropped."""
     divided = unit_prices(raw).withColumn("belowBfp", below_floor(F.col(f"`{floor_col}`")))
     return drop_promos(divided, promo_words)
+
+
+def both_outputs(
+    raw: DataFrame,
+    floor_col: str,
+    promo_words: Sequence[str] = PROMO_WORDS,
+    output_col: str = "_output",
+) -> DataFrame:
+    """Raw rows and `processed_rows` of one pass, told apart by ``output_col``: 'raw' or 'processed'.
+
+    A row is repeated inside its task, so whatever made it runs once for both.
+    """
+    outputs = F.array(F.lit("raw"), F.lit("processed"))
+    both = raw.withColumn(output_col, F.explode(outputs))
+    done = F.col(output_col) == "processed"
+    kept = both.filter(~done | ~speaks_of_promo(promo_words))
+    by = F.when(done, F.col("Multiplier"))
+
+    def price(name: str) -> Column:
+        return F.when(by.isNotNull(), F.try_divide(F.col(name), by)).otherwise(F.col(name))
+
+    priced = kept.withColumns({c: price(c) for c in ("basePrice", "finalPrice")})
+    flag = F.when(done, below_floor(F.col(f"`{floor_col}`"))).otherwise(F.col("belowBfp"))
+    return priced.withColumn("belowBfp", flag)

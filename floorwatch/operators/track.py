@@ -99,7 +99,15 @@ def count_by_account(track: DataFrame) -> DataFrame:
     return track.groupBy("account").agg(F.count("*").alias("rows"))
 
 
-def observed_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows while they pass by, instead of in a job of their own."""
+def observed_rows(
+    df: DataFrame, name: str, accounts: Sequence[str] = ()
+) -> tuple[DataFrame, Observation]:
+    """Count rows, and those of some accounts, while they pass by, instead of in a job of their own."""
     watch = Observation(name)
-    return df.observe(watch, F.count(F.lit(1)).alias("rows")), watch
+    counts = [F.count(F.when(F.lower("account") == a.lower(), 1)).alias(account_key(a)) for a in accounts]
+    return df.observe(watch, F.count(F.lit(1)).alias("rows"), *counts), watch
+
+
+def account_key(account: str) -> str:
+    """Name under which `observed_rows` counts the rows of an account."""
+    return f"rows of {account.lower()}"

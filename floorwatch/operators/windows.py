@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,29 @@ def windows_frame(spark: SparkSession, windows: Mapping[str, Window]) -> DataFra
     return spark.createDataFrame(rows, "account string, start date, end date")
 
 
+def without_days(window: Window, days: Collection[dt.date]) -> list[Window]:
+    """The parts of a window that are left when some of its days are not to be touched."""
+    start, end = window
+    if start is None or end is None:
+        return [window]
+    parts, one = [], dt.timedelta(days=1)
+    for day in sorted(d for d in set(days) if start <= d <= end):
+        if start < day:
+            parts.append((start, day - one))
+        start = day + one
+    return parts + [(start, end)] if start <= end else parts
+
+
+def intervals_frame(spark: SparkSession, windows: Mapping[str, Sequence[Window]]) -> DataFrame:
+    """Several windows per account; an account without any clears nothing."""
+    rows = [
+        (account.lower(), start, end)
+        for account, parts in windows.items()
+        for start, end in parts or [(None, None)]
+    ]
+    return spark.createDataFrame(rows, "account string, start date, end date")
+
+
 def resolve_windows(
     accounts: DataFrame,
     history: DataFrame | None,

@@ -12,6 +12,7 @@ index holds there as well.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -52,6 +53,8 @@ class Scan:
     """Rows of all readable files in the window; None where there are none."""
     unreadable: DataFrame
     """path, label, day, error of the files in the window that were set aside."""
+    left_out: tuple[str, ...] = ()
+    """Columns that older files have and the result has not."""
 
 
 class UnreadableFiles(OSError):
@@ -206,13 +209,15 @@ def scan_scrapes(
 
     as_stored = renamed(read_folder(spark, newest_file(found.columns)), renames)
     schema = canonical_schema(as_stored.schema)
+    given = {part["column"] for layout, _ in groups for part in json.loads(layout)}
+    left_out = given - {old for old, _ in renames} - {f.name for f in schema.fields} | (given & set(drop_cols))
     parts = []
     for _, paths in groups:
         part = read_folder(spark, *paths).select("*", scanned_label().alias("_file"))
         parts.append(to_schema(renamed(part, renames), schema, keep=["_file"]))
     rows = reduce(lambda a, b: a.unionByName(b), parts)
     named = enrich(rows, F.col("_file"), file_regex, account, by_iso_year)
-    return Scan(named.drop("_file", *drop_cols), unreadable)
+    return Scan(named.drop("_file", *drop_cols), unreadable, tuple(sorted(left_out)))
 
 
 def load_scrapes(

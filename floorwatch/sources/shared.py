@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,10 +31,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write once, read back: no recomputation, and a size the planner knows. Gone when the session ends."""
+def materialise(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write once, read back: no recomputation, and a size the planner knows. Gone when the session ends.
+
+    ``by`` are columns whose values get folders of their own, so that a reader of one value opens no other.
+    """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     fs, where = file_system(df.sparkSession, path)
     fs.deleteOnExit(where)
     return df.sparkSession.read.schema(df.schema).parquet(path)

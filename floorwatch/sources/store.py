@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,45 +139,53 @@ class TrackStore:
         mode: str,
         windows: DataFrame | None = None,
         distinct: bool = False,
-    ) -> None:
-        """``distinct`` says that ``df`` has no repeated rows, so none need removing."""
+        accounts: Sequence[str] = (),
+    ) -> dict[str, int]:
+        """``distinct`` says that ``df`` has no repeated rows, so none need removing.
+
+        Returns how many rows came in, all and of the accounts given, counted on the way.
+        """
         if mode == "overwrite":
-            self.replace(df)
-        elif mode == "append":
+            return self._replace(df, accounts)
+        if mode == "append":
             if windows is None or windows.isEmpty():
                 raise ValueError("append needs at least one window")
-            self.merge(df, windows, distinct)
-        else:
-            raise ValueError(f"Unknown save mode: {mode}")
+            return self.merge(df, windows, distinct, accounts)
+        raise ValueError(f"Unknown save mode: {mode}")
 
     def replace(self, df: DataFrame) -> int:
         """Exactly the rows of ``df``; returns how many."""
-        counted, watch = observed_rows(df, f"rows of {self.base}")
+        return self._replace(df)["rows"]
+
+    def _replace(self, df: DataFrame, accounts: Sequence[str] = ()) -> dict[str, int]:
+        counted, watch = observed_rows(df, f"rows of {self.base}", accounts)
         state = materialise(counted, "track")
         if self._elsewhere():
             state.select(self.spark.table(self.table).columns).write.mode("overwrite").insertInto(self.table)
         else:
             self._write(state, "static")
             self._publish(df.schema)
-        return watch.get["rows"]
+        return watch.get
 
-    def merge(self, new: DataFrame, windows: DataFrame, distinct: bool = False) -> None:
+    def merge(
+        self, new: DataFrame, windows: DataFrame, distinct: bool = False, accounts: Sequence[str] = ()
+    ) -> dict[str, int]:
         """Replace the windows by ``new``; partitions outside stay as they are, untouched."""
         existing = self.read()
         if existing is None:
-            self.replace(new if distinct else new.dropDuplicates())
-            return
+            return self._replace(new if distinct else new.dropDuplicates(), accounts)
         elsewhere = self._elsewhere()
         if elsewhere and set(new.columns) != set(existing.columns):
             raise ValueError(f"{self.table} has other columns: {existing.columns}")
         schema = merged_schema(existing.schema if elsewhere else self._stored_schema(), new.schema)
         names = self.partitions()
+        counted, watch = observed_rows(new if distinct else new.dropDuplicates(), f"new in {self.base}", accounts)
+        incoming = materialise(counted, "incoming")
         if names is None:  # partitioned in another way: only as a whole
-            state = clear_windows(existing, windows).unionByName(new).dropDuplicates()
+            state = clear_windows(existing, windows).unionByName(incoming).dropDuplicates()
             state = materialise(state.select(existing.columns), "track")
             state.write.mode("overwrite").insertInto(self.table)
-            return
-        incoming = materialise(new if distinct else new.dropDuplicates(), "incoming")
+            return watch.get
         touched = materialise(incoming.select(*PARTITIONS).distinct(), "touched")
         stored = materialise(names, "stored")
         outside = clear_windows(stored, windows)
@@ -198,6 +207,7 @@ class TrackStore:
         self._drop(emptied, elsewhere)
         if not elsewhere:
             self._publish(schema)
+        return watch.get
 
     def _with_kept(
         self, existing: DataFrame, incoming: DataFrame, outside: DataFrame, touched: DataFrame

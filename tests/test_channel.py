@@ -139,3 +139,68 @@ def test_four_channels():
         "MINIS": ["ALFAMART", "INDOMARET", "MIDI"],
         "HABA": ["WATSON", "GUARDIAN"],
     }
+
+
+def test_a_run_reads_each_folder_twice(spark, world, monkeypatch, tmp_path):
+    """Once for the names, once for the rows of all outputs."""
+    from pyspark.sql import DataFrameWriter
+
+    plans = []
+    plain = DataFrameWriter.parquet
+
+    def noted(self, path, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return plain(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    stores = [TrackStore(spark, fresh_path(spark, "twice")) for _ in range(2)]
+    run_channel(
+        spark, store=stores[0], raw_store=stores[1], snapshots=str(tmp_path / "s"), full_refresh=True, today=D(2026, 2, 10), **world
+    )
+    for folder in world["folders"].values():
+        scans = [line for plan in plans for line in plan.split("\n") if "FileScan parquet" in line and folder in line]
+        assert len(scans) == 2
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_run_summary(spark, world):
+    store, raw_store = (TrackStore(spark, fresh_path(spark, "summary")) for _ in range(2))
+    with open(os.path.join(world["folders"]["BLIBLI"], "BLIBLI_B_260208.parquet"), "wb") as file:
+        file.write(b"broken")
+    result = run_channel(spark, store=store, raw_store=raw_store, full_refresh=True, today=D(2026, 2, 10), **world)
+    got = {r["retailer"]: r for r in result.summary_frame(spark).collect()}
+    counted = {r["account"]: r["count"] for r in store.read().groupBy("account").count().collect()}
+    assert {r["account"]: r["rows"] for r in got.values()} == counted
+    assert {r["account"]: r["raw_rows"] for r in got.values()} == {
+        r["account"]: r["count"] for r in raw_store.read().groupBy("account").count().collect()
+    }
+    assert {c: r["overridden"] for c, r in got.items()} == {"LAZADA": 0, "BLIBLI": 0, "TOKPED": 1}
+    assert {c: r["unreadable"] for c, r in got.items()} == {"LAZADA": 0, "BLIBLI": 1, "TOKPED": 0}
+    assert {c: r["left_out"] for c, r in got.items()} == {"LAZADA": "", "BLIBLI": "status", "TOKPED": "status"}
+    assert [r["label"] for r in result.unreadable["BLIBLI"].collect()] == ["BLIBLI_B_260208.parquet"]
+
+
+def test_days_of_broken_files_keep_their_rows(spark, world):
+    store = TrackStore(spark, fresh_path(spark, "keeps"))
+    args = {**world, "store": store}
+    for code, prefix in FILES.items():
+        put(world["folders"][code], f"{prefix}_A_260210.parquet", [("blue soap 90g x2", 10.0)])
+    run_channel(spark, full_refresh=True, today=D(2026, 2, 11), **args)
+    before = rows(store.read())
+    with open(os.path.join(world["folders"]["LAZADA"], "LAZADA_A_260209.parquet"), "wb") as file:
+        file.write(b"broken")
+    run_channel(spark, from_date=D(2026, 2, 1), today=D(2026, 2, 11), **args)
+    assert rows(store.read()) == before
+
+
+def test_windows_without_days():
+    from floorwatch.operators.windows import without_days
+
+    whole = (D(2025, 1, 1), D(2025, 1, 5))
+    assert without_days(whole, []) == [whole]
+    assert without_days(whole, [D(2025, 1, 1), D(2025, 1, 3), D(2024, 1, 1)]) == [
+        (D(2025, 1, 2), D(2025, 1, 2)), (D(2025, 1, 4), D(2025, 1, 5))
+    ]
+    assert without_days((D(2025, 1, 1), D(2025, 1, 1)), [D(2025, 1, 1)]) == []
+    assert without_days((None, D(2025, 1, 5)), [D(2025, 1, 3)]) == [(None, D(2025, 1, 5))]
