@@ -12,12 +12,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floorwatch.config import LMT_FLOOR, MINIS_FLOOR, Period, RetailerConfig
+from floorwatch.config import LMT_FLOOR, MINIS_FLOOR, ChannelConfig, Period, RetailerConfig
 from floorwatch.functions.dates import week_columns
 from floorwatch.plans.channel import Floors
 from floorwatch.plans.channels import DCOMM, HABA, HSM, MINIS
+from floorwatch.plans.job import RULES_SHEET, JobSettings
+from floorwatch.sources.dims import write_dimension
 from floorwatch.sources.files import write_named
-from floorwatch.sources.shared import fresh_path, write_small
+from floorwatch.sources.shared import fresh_path, materialise, write_small
 
 PERIODS = (Period("P1", None, 199721), Period("P2", 199721, 199906))
 CAP = 60000.0
@@ -432,3 +434,132 @@ TRACK_WINDOWS = {
     "purchase": (dt.date(2024, 1, 18), dt.date(2024, 1, 19)),
     "error": (dt.date(2024, 1, 31), dt.date(2024, 1, 15)),
 }
+
+
+# --- whole runs -------------------------------------------------------------
+RUN_PERIODS = (Period("P1", None, 200721), Period("P2", 200721, 200906))
+RUN_TODAY = dt.date(2011, 12, 30)
+RUN_SPLIT = dt.date(2009, 1, 1)
+RUN_RULES = TEST_RULES | {"periods": RUN_PERIODS}
+
+
+def _shop(region: str, **more) -> RetailerConfig:
+    return RetailerConfig(
+        code=region,
+        account=region.lower(),
+        view=region.lower().replace(" ", "_"),
+        file_regex=region + r"[^/]*_(\d{6})\.parquet",
+        **more,
+    )
+
+
+def _column(region: str, **more) -> RetailerConfig:
+    return _shop(region, mapping_col=region, competitor_col=region, **more)
+
+
+RUN_DCOMM = replace(
+    DCOMM,
+    retailers=(
+        _column("AFRICA"),
+        _column("ASIA", multiplier_col="ASIA MULTIPLIER"),
+        _shop("EUROPE", mapping_col="EUROPE"),
+    ),
+    **RUN_RULES,
+)
+RUN_HSM = replace(
+    HSM,
+    retailers=(
+        _column("AFRICA"),
+        _column("AMERICA", floor_col=LMT_FLOOR),
+        _column(
+            "ASIA", product_col="combinedProductName", renames=(("concat", "combinedProductName"),)
+        ),
+    ),
+    **RUN_RULES,
+)
+RUN_MINIS = replace(
+    MINIS,
+    retailers=tuple(
+        _shop(r, mapping_sheet=f"{r}-Definition") for r in ("EUROPE", "MIDDLE EAST", "AMERICA")
+    ),
+    **RUN_RULES,
+)
+RUN_HABA = replace(
+    HABA,
+    retailers=tuple(
+        _shop(r, mapping_col=r, has_competitor=False) for r in ("AFRICA", "MIDDLE EAST")
+    ),
+    **RUN_RULES,
+)
+
+
+def run_folders(spark: SparkSession, sf_dir: str, part: str) -> dict[str, str]:
+    """Scrape files per region: 'first' up to the split, 'all' of them, in two layouts, one of them broken."""
+
+    def write(folder: str) -> None:
+        day = F.add_months(F.trunc("date", "quarter"), 120)
+        rows = sales(spark, sf_dir).withColumn("day", day).drop("p_name", "date", "week", "year")
+        name = F.concat(F.upper("account"), F.lit("_"), F.date_format("day", "yyMMdd"), F.lit(".parquet"))
+        rows = rows.withColumn("combinedProductName", F.col("productName")).withColumn("file", name)
+        rows = rows.filter(F.col("day") < RUN_SPLIT) if part == "first" else rows
+        rows = materialise(rows, "run-rows")
+        even = F.quarter("day") % 2 == 0
+        for region in REGION_COLUMNS:
+            own = rows.filter(F.col("account") == region.lower()).repartition("file")
+            new = own.filter(even).drop("day", "account")
+            old = own.filter(~even).drop("day", "account").withColumnRenamed("combinedProductName", "concat")
+            for layout in (new, old.withColumn("finalPrice", F.col("finalPrice").cast("string"))):
+                write_named(layout, f"{folder}/{region}", "file")
+        if part == "all":
+            write_small(spark, f"{folder}/AMERICA/AMERICA_100215.parquet", "no parquet")
+
+    base = _stage(spark, sf_dir, f"runs-{part}", write)
+    return {region: f"{base}/{region}" for region in REGION_COLUMNS}
+
+
+def run_workbook(spark: SparkSession, sf_dir: str, channel: ChannelConfig) -> str:
+    """The worksheets of a channel under the titles that its settings name."""
+
+    def write(folder: str) -> None:
+        if channel.mapping_sheet is None:
+            whole = mapping(spark, sf_dir).drop("Multiplier")
+            sheet = whole.withColumnsRenamed({"ProductName": "Product Name", "SKUName": "SKU name"})
+            for r in channel.retailers:
+                own = sheet.filter("Status <> 'Competitor'") if r.code == "AMERICA" else sheet
+                own.write.parquet(f"{folder}/{r.mapping_sheet}.parquet")
+            return
+        top = wide_sheet(spark, sf_dir).withColumnRenamed("TOP 58", channel.mapping_sku_col)
+        top.write.csv(f"{folder}/{channel.mapping_sheet}.csv", header=True)
+        if channel.competitor_sheet:
+            rivals = wide_sheet(spark, sf_dir, rivals=True)
+            rivals = rivals.withColumnRenamed("COMP", channel.competitor_sku_col)
+            rivals.write.parquet(f"{folder}/{channel.competitor_sheet}.parquet")
+        rules_sheet(spark, sf_dir).write.parquet(f"{folder}/{RULES_SHEET}.parquet")
+
+    return _stage(spark, sf_dir, f"workbook-{channel.name}", write)
+
+
+def run_settings(spark: SparkSession, sf_dir: str, channel: ChannelConfig) -> JobSettings:
+    """A job whose floors, mappings and tracks are its own, so that runs do not see each other."""
+    base = fresh_path(spark, f"run-{channel.name.lower()}")
+    paths = {p.name: f"{base}/floors/{p.name}" for p in RUN_PERIODS} | {"CURRENT": f"{base}/floors/weekly"}
+    known = weekly(spark, sf_dir).filter("year < 2001").withColumn("year", F.col("year") + 10)
+    write_dimension(known, paths["CURRENT"])
+
+    def sheets(folder: str) -> None:
+        for title, factor in (("P1", 20), ("P2", 22), ("Weekly", 20)):
+            floor_sheet(spark, sf_dir, factor).write.parquet(f"{folder}/{title}.parquet")
+
+    return JobSettings(
+        channel,
+        run_workbook(spark, sf_dir, channel),
+        run_folders(spark, sf_dir, "first"),
+        paths,
+        f"{base}/mappings",
+        f"{base}/track",
+        raw_track=f"{base}/raw",
+        snapshots=f"{base}/snapshots",
+        floor_workbook=_stage(spark, sf_dir, "floor-workbook", sheets),
+        floor_sheet="Weekly",
+        closed_sheets={"P1": ("P1", "Q1", 2007), "P2": ("P2", "Q2", 2009)},
+    )

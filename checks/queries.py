@@ -14,6 +14,7 @@ from floorwatch.config import LMT_FLOOR, MINIS_FLOOR
 from floorwatch.functions import dates, text
 from floorwatch.operators import floors, gaps, match, packs, track, windows
 from floorwatch.plans.channel import ChannelResult, build_channel
+from floorwatch.plans.job import JobSettings, refresh_floors, run_job
 from floorwatch.sources import dims, drift, files, normalise, sheets, store
 from floorwatch.sources.shared import fresh_path, materialise
 
@@ -884,3 +885,64 @@ def channel_haba(spark, sf_dir):
         {"EAST": mapping, "WEST": mapping},
         fx.floors(spark, sf_dir),
     ).track
+
+
+# --- whole runs -------------------------------------------------------------
+def _runs(spark, sf_dir, channel) -> tuple[JobSettings, list[ChannelResult]]:
+    """Sheets, floors and the older files in full; then what is new, from the last day on."""
+    settings = fx.run_settings(spark, sf_dir, channel)
+    first = run_job(
+        spark, settings, refresh_floor_tables=True, full_refresh=True, today=fx.RUN_TODAY
+    )
+    settings = replace(settings, folders=fx.run_folders(spark, sf_dir, "all"))
+    second = run_job(spark, settings, refresh_mapping_tables=False, today=fx.RUN_TODAY)
+    return settings, [first, second]
+
+
+def _stored(spark, path) -> DataFrame:
+    return store.TrackStore(spark, path).read()
+
+
+@query
+def run_dcomm(spark, sf_dir):
+    return _stored(spark, _runs(spark, sf_dir, fx.RUN_DCOMM)[0].track)
+
+
+@query
+def run_dcomm_raw(spark, sf_dir):
+    return _stored(spark, _runs(spark, sf_dir, fx.RUN_DCOMM)[0].raw_track)
+
+
+@query
+def run_hsm(spark, sf_dir):
+    return _stored(spark, _runs(spark, sf_dir, fx.RUN_HSM)[0].track)
+
+
+@query
+def run_minis(spark, sf_dir):
+    return _stored(spark, _runs(spark, sf_dir, fx.RUN_MINIS)[0].track)
+
+
+@query
+def run_haba(spark, sf_dir):
+    return _stored(spark, _runs(spark, sf_dir, fx.RUN_HABA)[0].track)
+
+
+@query
+def run_summary(spark, sf_dir):
+    _, results = _runs(spark, sf_dir, fx.RUN_HSM)
+    parts = [
+        r.summary_frame(spark).select(F.lit(i).alias("run"), "*").drop("raw_rows", "view_rows")
+        for i, r in enumerate(results, 1)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def run_floors(spark, sf_dir):
+    """The weekly floors that a job refreshes from their sheet before its run."""
+    settings = fx.run_settings(spark, sf_dir, fx.RUN_HABA)
+    refresh_floors(spark, settings, fx.RUN_TODAY)
+    return dims.read_dimension(spark, settings.floors["CURRENT"]).withColumnsRenamed(
+        {"SKU NAME": "sku", MINIS_FLOOR: "minis", LMT_FLOOR: "lmt"}
+    )
