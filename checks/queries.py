@@ -407,6 +407,14 @@ def join_contains_ngram(spark, sf_dir):
     return pairs.select("name", "mappedName", "SKUName")
 
 
+@query
+def join_contains_shuffled(spark, sf_dir):
+    """The mapping as if it were too large to broadcast."""
+    names = match.distinct_names(fx.obs(spark, sf_dir))
+    pairs = match.contains_pairs(names, fx.mapping(spark, sf_dir), limit=0, keep_unmatched=True)
+    return pairs.select("name", "mappedName", "SKUName", "Status")
+
+
 @query
 def distinct_names(spark, sf_dir):
     rows = fx.obs(spark, sf_dir)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from floorwatch.config import FIRST_FLOOR_WEEK, Period
 from floorwatch.functions.dates import year_week
-from floorwatch.operators.joins import dim_join
+from floorwatch.operators.joins import BROADCAST_BYTES, dim_join
+from floorwatch.sources.shared import materialise
 
 SKU = "SKU NAME"
 
@@ -144,22 +145,56 @@ def floor_single_pass(
     return dim_join(repeated, dim, on, spread=spread, fits=fits).drop("_branch", "_week_key")
 
 
-def floor_ranges(
+def _ordinal(year: Column, week: Column) -> Column:
+    """Weeks numbered without gaps but for a missing 53rd: a place in an array."""
+    return (year * 53 + week).cast("int")
+
+
+def floor_slots(
     statics: Sequence[tuple[Period, DataFrame]], weekly: DataFrame, floor_col: str
 ) -> DataFrame:
-    """All floors as (SKU, first week, last week, floor), both weeks inclusive."""
-    rows = [
-        floors.select(
+    """One row per SKU: the floors of each static period (_s0, _s1...), and those of every week by place.
+
+    `_weeks` starts at the SKU's first week, which is number `_first`. Each slot is a list, since a table
+    may name a SKU more than once; an entry without a price is an entry.
+    """
+    price = F.struct(F.col(f"`{floor_col}`").alias("floor"))
+    tagged = [
+        floors.select(SKU, F.lit(i).alias("_branch"), F.lit(0).alias("_week"), price.alias("_price"))
+        for i, (_, floors) in enumerate(statics)
+    ]
+    branch = len(statics)
+    dated = weekly.filter("year IS NOT NULL AND week IS NOT NULL")
+    tagged.append(
+        dated.select(
             SKU,
-            F.lit(period.from_yw if period.from_yw is not None else 0).alias("from_yw"),
-            F.lit(period.until_yw - 1 if period.until_yw is not None else 999999).alias("to_yw"),
-            floor_col,
+            F.lit(branch).alias("_branch"),
+            _ordinal(F.col("year"), F.col("week")).alias("_week"),
+            price.alias("_price"),
         )
-        for period, floors in statics
-    ]
-    yw = year_week(F.col("year"), F.col("week")).cast("int")
-    rows.append(weekly.select(SKU, yw.alias("from_yw"), yw.alias("to_yw"), floor_col))
-    return reduce(lambda a, b: a.unionByName(b), rows)
+    )
+    slots = (
+        reduce(lambda a, b: a.unionByName(b), tagged)
+        .groupBy(SKU, "_branch", "_week")
+        .agg(F.collect_list("_price").alias("_floors"))
+    )
+    week = F.when(F.col("_branch") == branch, F.col("_week"))
+    per_sku = slots.groupBy(SKU).agg(
+        *[
+            F.first(F.when(F.col("_branch") == i, F.col("_floors")), ignorenulls=True).alias(f"_s{i}")
+            for i in range(branch)
+        ],
+        F.min(week).alias("_first"),
+        F.max(week).alias("_last"),
+        F.map_from_entries(
+            F.collect_list(F.when(week.isNotNull(), F.struct("_week", "_floors")))
+        ).alias("_by_week"),
+    )
+    weeks = F.when(
+        F.col("_first").isNotNull(),
+        F.transform(F.sequence("_first", "_last"), lambda w: F.try_element_at("_by_week", w)),
+    )
+    return per_sku.withColumn("_weeks", weeks).drop("_last", "_by_week")
 
 
 def floor_range(
@@ -171,12 +206,62 @@ def floor_range(
     spread: Column | None = None,
     fits: bool | None = None,
 ) -> DataFrame:
-    """Exactly one period per row: an equality on SKU with a range over weeks."""
-    dim = floor_ranges(statics, weekly, floor_col)
+    """Exactly one period per row: the floors that hold in its week, whichever table they come from.
+
+    An equality join on SKU alone meets one dimension row, however many periods and weeks there are, and the week
+    is a place in its array. A row whose week has several floors is repeated for each, as a join would; where the
+    tables hold none twice and do not overlap, which two small jobs over them tell, nothing is exploded.
+    """
+    dim = materialise(floor_slots(statics, weekly, floor_col), "floor-slots")
     yw = year_week(F.col("year"), F.col("week"))
-    held = yw.between(F.col("from_yw"), F.col("to_yw"))
-    joined = dim_join(facts, dim, [(sku_col, SKU)], also=held, spread=spread, fits=fits)
-    return joined.drop("from_yw", "to_yw")
+    names = [f"_s{i}" for i in range(len(statics))]
+    place = _ordinal(F.col("year"), F.col("week")) - F.col("_first")
+    held = [F.when(in_period(p, yw), F.col(n)) for n, (p, _) in zip(names, statics)]
+    held.append(F.when(place >= 0, F.get("_weeks", place)))
+
+    biggest = F.max(
+        F.greatest(
+            *[F.coalesce(F.size(n), F.lit(0)) for n in names],
+            F.aggregate(
+                F.coalesce("_weeks", F.array()),
+                F.lit(0),
+                lambda most, slot: F.greatest(most, F.coalesce(F.size(slot), F.lit(0))),
+            ),
+            F.lit(0),
+        )
+    )
+    shape = dim.agg(biggest.alias("most"), F.min("_first").alias("first"), _slot_bytes(dim).alias("bytes")).first()
+    periods = sorted((p for p, _ in statics), key=lambda p: p.from_yw or 0)
+    apart = all(
+        a.until_yw is not None and b.from_yw is not None and a.until_yw <= b.from_yw
+        for a, b in zip(periods, periods[1:])
+    )
+    ends = [p.until_yw for p in periods]
+    if shape["first"] is not None and periods:
+        apart = apart and None not in ends and shape["first"] >= max(ends) // 100 * 53 + max(ends) % 100
+    if fits is None:
+        fits = (shape["bytes"] or 0) <= BROADCAST_BYTES
+    joined = dim_join(facts, dim, [(sku_col, SKU)], spread=spread, fits=fits)
+    if (shape["most"] or 0) <= 1 and apart:
+        floor = reduce(lambda a, b: F.coalesce(a, b), [F.get(h, 0)["floor"] for h in held])
+        found = joined.withColumn(floor_col, floor)
+    else:
+        empty = F.array().cast(f"array<struct<floor:{_kind(statics, weekly, floor_col)}>>")
+        every = F.concat(*[F.coalesce(h, empty) for h in held])
+        found = joined.withColumn("_held", F.explode_outer(every)).withColumn(floor_col, F.col("_held.floor")).drop("_held")
+    return found.drop("_first", "_weeks", *names)
+
+
+def _slot_bytes(dim: DataFrame) -> Column:
+    """Size of the dimension, by its lists."""
+    lists = F.coalesce(F.size("_weeks"), F.lit(0)) + len(dim.columns)
+    return F.sum((F.coalesce(F.octet_length(F.col(f"`{SKU}`")), F.lit(0)) + 64 + 72 * lists).cast("bigint"))
+
+
+def _kind(statics: Sequence[tuple[Period, DataFrame]], weekly: DataFrame, floor_col: str) -> str:
+    tables = [t for _, t in statics] + [weekly]
+    union = reduce(lambda a, b: a.unionByName(b), [t.select(floor_col) for t in tables])
+    return union.schema[0].dataType.simpleString()
 
 
 def range_is_exact(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from floorwatch.operators.floors import SKU
 from floorwatch.operators.joins import dim_join
 from floorwatch.operators.match import contains_pairs, distinct_names, mapping_columns
+from floorwatch.sources.shared import materialise
 
 # The two messages of the report.
 NO_MAPPING = "NO MAPPING IN {}"
@@ -55,17 +56,30 @@ def gap_rows(
     asked = week_rows(floors, week, year).select(SKU, "week", "year", floor_col)
     mapped = mapping.select("SKUName").distinct()
     seen = seen_pairs(week_rows(facts, week, year), mapping, product_col, contains)
-    with_names = mapped.join(seen, "SKUName", "left")
-    return asked.join(with_names, F.col(f"`{SKU}`") == F.col("SKUName"), "left").select(
-        SKU, "week", "year", floor_col, F.col("SKUName").alias("mappedSku"), "name"
+    known = dim_join(asked, mapped.withColumn("mappedSku", F.col("SKUName")), [(SKU, "SKUName")])
+    known = materialise(known, "asked-floors")
+    # The names are the long side: each meets its floors, and only floors without any are added.
+    found = dim_join(seen, known.filter("mappedSku IS NOT NULL"), [("SKUName", "mappedSku")], how="inner")
+    found = found.withColumnRenamed("SKUName", "mappedSku")
+    skus = seen.select("SKUName").distinct()
+    missed = dim_join(known, skus, [("mappedSku", "SKUName")], how="left_anti")
+    columns = [SKU, "week", "year", floor_col, "mappedSku", "name"]
+    return found.select(columns).unionByName(
+        missed.withColumn("name", F.lit(None).cast("string")).select(columns)
     )
 
 
 def gap_counts(rows: DataFrame, floor_col: str) -> DataFrame:
-    """Distinct mapped SKUs and distinct names per floor."""
-    return rows.groupBy(SKU, "week", "year", floor_col).agg(
-        F.countDistinct("mappedSku").alias("mapping_count"),
-        F.countDistinct(F.when(F.col("name").isNotNull(), F.col("name"))).alias("found_count"),
+    """Distinct mapped SKUs and distinct names per floor.
+
+    Repeated names go first, then both are plain counts: a SKU with very many names is spread by them, and
+    reduced in the map tasks before it meets itself. A floor's mapped SKU is its own, so it is there or not.
+    """
+    keys = [SKU, "week", "year", floor_col]
+    mapped = F.when(F.col("mappedSku").isNotNull(), F.lit(1)).otherwise(0).cast("bigint")
+    names = rows.groupBy(*keys, "name").agg(F.max(mapped).alias("mapped"))
+    return names.groupBy(*keys).agg(
+        F.max("mapped").alias("mapping_count"), F.count("name").alias("found_count")
     )
 
 

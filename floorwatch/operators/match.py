@@ -13,6 +13,8 @@ from floorwatch.functions.text import pack_hint, pack_size, plain
 from floorwatch.operators.joins import BROADCAST_BYTES, dim_join, width
 
 GRAM = 6
+CELL_BITS = 21
+"""At most two million numbers: 32 MB as a broadcast table."""
 
 
 def mapping_columns(mapping: DataFrame) -> DataFrame:
@@ -92,8 +94,10 @@ def contains_pairs(
             )
         ),
     )
+    # Counted in the map tasks first, so a gram that very many names share is no task of its own.
+    uses = pattern_grams.groupBy("gram").agg(F.count("*").alias("uses"))
     anchors = (
-        pattern_grams.withColumn("uses", F.count("*").over(Window.partitionBy("gram")))
+        pattern_grams.join(uses, "gram")
         .groupBy("pattern")
         .agg(F.min(F.struct("uses", "gram")).alias("best"))
         .select(F.col("pattern").alias("_pattern"), F.col("best.gram").alias("gram"))
@@ -113,6 +117,9 @@ def contains_pairs(
     name_grams = names.withColumn("plain_name", plain(F.col("name"))).withColumn(
         "name_gram", F.explode(F.expr(f"array_distinct({all_grams})"))
     )
+    fits = seen["bytes"] <= limit
+    if not fits:
+        name_grams = may_be_anchored(name_grams, anchored)
     return dim_join(
         name_grams,
         anchored,
@@ -120,10 +127,24 @@ def contains_pairs(
         how="inner",
         also=F.col("plain_name").contains(F.col("pattern")),
         spread=F.xxhash64("name"),
-        fits=seen["bytes"] <= limit,
+        fits=fits,
     ).drop("plain_name", "name_gram")
 
 
+def may_be_anchored(name_grams: DataFrame, anchored: DataFrame, bits: int = CELL_BITS) -> DataFrame:
+    """Name grams without nearly all that no mapped name is looked up by, dropped before anything is shuffled.
+
+    The filter holds numbers of at most ``bits`` bits, so it has a bound whatever the mapping's size; a gram that
+    shares its number with a chosen one passes and is dropped by the join.
+    """
+
+    def cell(gram: str) -> Column:
+        return F.pmod(F.xxhash64(gram), F.lit(1 << bits)).cast("int")
+
+    cells = anchored.select(cell("gram").alias("_cell")).distinct()
+    return name_grams.join(F.broadcast(cells), cell("name_gram") == F.col("_cell"), "left_semi")
+
+
 def best_match(names: DataFrame, mapping: DataFrame, gram: int = GRAM) -> DataFrame:
     """One row per name: the equal mapped name, else the longest contained one.
 

@@ -97,3 +97,39 @@ def test_weeks(spark):
     later = floors.refresh_weekly(dearer, grown, dt.date(2026, 2, 19))
     assert rows(later.select("week", "p")) == [(6, 1.0), (7, 1.0), (8, 2.0)]
     assert rows(floors.historical_floors(sheet, "Q1", 2025)) == [("A", 1.0, "Q1", 2025)]
+
+
+def range_join(facts, statics, weekly):
+    """The period lookup as a plain join over ranges of weeks."""
+    yw = F.col("year") * 100 + F.col("week")
+    parts = [
+        t.select(floors.SKU, F.lit(p.from_yw or 0).alias("lo"), F.lit(p.until_yw or 1_000_000).alias("hi"), FLOOR)
+        for p, t in statics
+    ]
+    parts.append(weekly.select(floors.SKU, yw.alias("lo"), (yw + 1).alias("hi"), FLOOR))
+    dim = parts[0]
+    for part in parts[1:]:
+        dim = dim.unionByName(part)
+    held = (F.col("SKUName") == F.col(f"`{floors.SKU}`")) & (yw >= F.col("lo")) & (yw < F.col("hi"))
+    return facts.join(dim, held, "left").drop(floors.SKU, "lo", "hi")
+
+
+def test_range_lookup_equals_a_range_join(spark):
+    """Also with SKUs named twice, entries without a price, overlapping tables, and a mapping too large to send."""
+    facts, statics, weekly, _ = tables(spark, True, early=True, seed=7)
+    none = statics[0][1].limit(2).withColumn(FLOOR, F.lit(None).cast("double"))
+    twice = [(statics[0][0], statics[0][1].union(statics[0][1]).union(none)), statics[1]]
+    wide = [(Period("all", None, 202607), statics[0][1]), statics[1]]
+    doubled = weekly.union(weekly.filter("week = 7"))
+    nothing = weekly.filter("false")
+    for tables_, weeks in ((statics, weekly), (twice, doubled), (wide, weekly), (statics, nothing), ([], weekly)):
+        want = rows(range_join(facts, tables_, weeks))
+        for fits in (None, False):
+            got = floors.floor_range(facts, tables_, weeks, FLOOR, fits=fits)
+            assert rows(got.select(*range_join(facts, tables_, weeks).columns)) == want
+
+
+def test_range_lookup_repeats_no_row_where_tables_name_each_sku_once(spark):
+    facts, statics, weekly, _ = tables(spark, seed=3)
+    text = floors.floor_range(facts, statics, weekly, FLOOR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in text

@@ -62,3 +62,25 @@ def test_single_pass_floors_scan_once(spark, sf_dir):
     single = plan(QUERIES["floor_single_pass"](spark, sf_dir)).count("lineitem.parquet")
     union = plan(QUERIES["floor_union"](spark, sf_dir)).count("lineitem.parquet")
     assert single == 1 and union == 3
+
+
+def test_gap_counts_neither_expand_nor_join_names_by_sku(spark, sf_dir):
+    """Names meet the floors of the week by broadcast; counting them needs no copies of the rows."""
+    text = plan(QUERIES["gap_counts"](spark, sf_dir))
+    by_sku = [line for line in text.split("\n") if "SortMergeJoin" in line and "sku" in line.lower()]
+    assert "Expand" not in text and not by_sku
+
+
+def test_grams_are_dropped_before_they_are_shuffled(spark, sf_dir):
+    names = match.distinct_names(fx.obs(spark, sf_dir))
+    pairs = match.contains_pairs(names, fx.mapping(spark, sf_dir), limit=0)
+    lines = pairs._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    inner = next(i for i, line in enumerate(lines) if "Join Inner" in line and "_salt" in line)
+    generate = next(i for i, line in enumerate(lines) if "Generate explode" in line and "name" in line)
+    assert inner < semi < generate
+
+
+def test_gap_report_over_all_accounts_has_no_pairs(spark, sf_dir):
+    text = plan(QUERIES["gap_join_contains"](spark, sf_dir))
+    assert not any(bad in text for bad in NO_PAIRS)
