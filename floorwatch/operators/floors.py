@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from floorwatch.config import FIRST_FLOOR_WEEK, Period
 from floorwatch.functions.dates import year_week
 from floorwatch.operators.joins import BROADCAST_BYTES, dim_join
-from floorwatch.sources.shared import materialise
 
 SKU = "SKU NAME"
 
@@ -150,45 +149,42 @@ def _ordinal(year: Column, week: Column) -> Column:
     return (year * 53 + week).cast("int")
 
 
-def floor_slots(
+def _tagged_floors(
     statics: Sequence[tuple[Period, DataFrame]], weekly: DataFrame, floor_col: str
 ) -> DataFrame:
-    """One row per SKU: the floors of each static period (_s0, _s1...), and those of every week by place.
-
-    `_weeks` starts at the SKU's first week, which is number `_first`. Each slot is a list, since a table
-    may name a SKU more than once; an entry without a price is an entry.
-    """
-    price = F.struct(F.col(f"`{floor_col}`").alias("floor"))
+    """SKU, branch, week number (weekly branch only) and price of every entry of the floor tables."""
+    branch = len(statics)
+    price = F.col(f"`{floor_col}`").alias("_price")
     tagged = [
-        floors.select(SKU, F.lit(i).alias("_branch"), F.lit(0).alias("_week"), price.alias("_price"))
+        floors.select(SKU, F.lit(i).alias("_branch"), F.lit(None).cast("int").alias("_week"), price)
         for i, (_, floors) in enumerate(statics)
     ]
-    branch = len(statics)
     dated = weekly.filter("year IS NOT NULL AND week IS NOT NULL")
-    tagged.append(
-        dated.select(
-            SKU,
-            F.lit(branch).alias("_branch"),
-            _ordinal(F.col("year"), F.col("week")).alias("_week"),
-            price.alias("_price"),
-        )
-    )
-    slots = (
-        reduce(lambda a, b: a.unionByName(b), tagged)
-        .groupBy(SKU, "_branch", "_week")
-        .agg(F.collect_list("_price").alias("_floors"))
-    )
-    week = F.when(F.col("_branch") == branch, F.col("_week"))
+    week = _ordinal(F.col("year"), F.col("week")).alias("_week")
+    tagged.append(dated.select(SKU, F.lit(branch).alias("_branch"), week, price))
+    return reduce(lambda a, b: a.unionByName(b), tagged)
+
+
+def floor_slots(entries: DataFrame, branches: int, unique: bool) -> DataFrame:
+    """One row per SKU: the floors of each static period (_s0, _s1...), and those of every week by place.
+
+    `_weeks` starts at the SKU's first week, which is number `_first`. A slot is the floor where every SKU has one
+    entry for it (``unique``), else the list of its entries; an entry without a price is an entry.
+    """
+    if unique:
+        slots = entries.withColumn("_slot", F.col("_price"))
+    else:
+        listed = F.collect_list(F.struct(F.col("_price").alias("floor")))
+        slots = entries.groupBy(SKU, "_branch", "_week").agg(listed.alias("_slot"))
+    dated = F.when(F.col("_week").isNotNull(), F.struct("_week", "_slot"))
     per_sku = slots.groupBy(SKU).agg(
         *[
-            F.first(F.when(F.col("_branch") == i, F.col("_floors")), ignorenulls=True).alias(f"_s{i}")
-            for i in range(branch)
+            F.first(F.when(F.col("_branch") == i, F.col("_slot")), ignorenulls=True).alias(f"_s{i}")
+            for i in range(branches)
         ],
-        F.min(week).alias("_first"),
-        F.max(week).alias("_last"),
-        F.map_from_entries(
-            F.collect_list(F.when(week.isNotNull(), F.struct("_week", "_floors")))
-        ).alias("_by_week"),
+        F.min("_week").alias("_first"),
+        F.max("_week").alias("_last"),
+        F.map_from_entries(F.collect_list(dated)).alias("_by_week"),
     )
     weeks = F.when(
         F.col("_first").isNotNull(),
@@ -210,41 +206,44 @@ def floor_range(
 
     An equality join on SKU alone meets one dimension row, however many periods and weeks there are, and the week
     is a place in its array. A row whose week has several floors is repeated for each, as a join would; where the
-    tables hold none twice and do not overlap, which two small jobs over them tell, nothing is exploded.
+    tables hold none twice and do not overlap, which one small job over them tells, nothing is exploded.
     """
-    dim = materialise(floor_slots(statics, weekly, floor_col), "floor-slots")
-    yw = year_week(F.col("year"), F.col("week"))
+    entries = _tagged_floors(statics, weekly, floor_col)
     names = [f"_s{i}" for i in range(len(statics))]
-    place = _ordinal(F.col("year"), F.col("week")) - F.col("_first")
-    held = [F.when(in_period(p, yw), F.col(n)) for n, (p, _) in zip(names, statics)]
-    held.append(F.when(place >= 0, F.get("_weeks", place)))
-
-    biggest = F.max(
-        F.greatest(
-            *[F.coalesce(F.size(n), F.lit(0)) for n in names],
-            F.aggregate(
-                F.coalesce("_weeks", F.array()),
-                F.lit(0),
-                lambda most, slot: F.greatest(most, F.coalesce(F.size(slot), F.lit(0))),
-            ),
-            F.lit(0),
+    shape = (
+        entries.groupBy(SKU, "_branch", "_week").agg(F.count("*").alias("n"))
+        .groupBy(SKU)
+        .agg(F.max("n").alias("most"), F.sum("n").alias("n"), F.min("_week").alias("first"), F.max("_week").alias("last"))
+        .agg(
+            F.max("most").alias("most"),
+            F.min("first").alias("first"),
+            F.sum(
+                64 + F.coalesce(F.octet_length(F.col(f"`{SKU}`")), F.lit(0)) + 32 * F.col("n")
+                + 16 * F.coalesce(F.col("last") - F.col("first"), F.lit(0))
+            ).alias("bytes"),
         )
+        .first()
     )
-    shape = dim.agg(biggest.alias("most"), F.min("_first").alias("first"), _slot_bytes(dim).alias("bytes")).first()
     periods = sorted((p for p, _ in statics), key=lambda p: p.from_yw or 0)
     apart = all(
         a.until_yw is not None and b.from_yw is not None and a.until_yw <= b.from_yw
         for a, b in zip(periods, periods[1:])
     )
-    ends = [p.until_yw for p in periods]
     if shape["first"] is not None and periods:
-        apart = apart and None not in ends and shape["first"] >= max(ends) // 100 * 53 + max(ends) % 100
+        end = periods[-1].until_yw
+        apart = apart and end is not None and shape["first"] >= end // 100 * 53 + end % 100
+    unique = (shape["most"] or 0) <= 1
     if fits is None:
         fits = (shape["bytes"] or 0) <= BROADCAST_BYTES
+    yw = year_week(F.col("year"), F.col("week"))
+    place = _ordinal(F.col("year"), F.col("week")) - F.col("_first")
+    held = [F.when(in_period(p, yw), F.col(n)) for n, (p, _) in zip(names, statics)]
+    held.append(F.when(place >= 0, F.get("_weeks", place)))
+    unique = unique and apart
+    dim = floor_slots(entries, len(statics), unique)
     joined = dim_join(facts, dim, [(sku_col, SKU)], spread=spread, fits=fits)
-    if (shape["most"] or 0) <= 1 and apart:
-        floor = reduce(lambda a, b: F.coalesce(a, b), [F.get(h, 0)["floor"] for h in held])
-        found = joined.withColumn(floor_col, floor)
+    if unique:
+        found = joined.withColumn(floor_col, F.coalesce(*held))
     else:
         empty = F.array().cast(f"array<struct<floor:{_kind(statics, weekly, floor_col)}>>")
         every = F.concat(*[F.coalesce(h, empty) for h in held])
@@ -252,12 +251,6 @@ def floor_range(
     return found.drop("_first", "_weeks", *names)
 
 
-def _slot_bytes(dim: DataFrame) -> Column:
-    """Size of the dimension, by its lists."""
-    lists = F.coalesce(F.size("_weeks"), F.lit(0)) + len(dim.columns)
-    return F.sum((F.coalesce(F.octet_length(F.col(f"`{SKU}`")), F.lit(0)) + 64 + 72 * lists).cast("bigint"))
-
-
 def _kind(statics: Sequence[tuple[Period, DataFrame]], weekly: DataFrame, floor_col: str) -> str:
     tables = [t for _, t in statics] + [weekly]
     union = reduce(lambda a, b: a.unionByName(b), [t.select(floor_col) for t in tables])

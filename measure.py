@@ -74,11 +74,12 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     shared = tempfile.mkdtemp(prefix="measure-")
     spark.sparkContext.setCheckpointDir(shared)
-    parts = sys.argv[2:] or ["floors", "contains", "clear", "files", "outputs"]
+    parts = sys.argv[2:] or ["floors", "contains", "many", "clear", "files", "outputs"]
     for part in parts:
         {
             "floors": measure_floors,
             "contains": measure_contains,
+            "many": measure_many,
             "clear": measure_clear,
             "files": measure_files,
             "outputs": measure_outputs,
@@ -102,6 +103,20 @@ def measure_contains(spark, sf_dir) -> None:
         timed(f"gram contains, {rows} mapped names", lambda: match.contains_pairs(names, mapping))
 
 
+def measure_many(spark, sf_dir) -> None:
+    """As many mapped names as names, sent to all tasks and shuffled, with and without the filter over grams."""
+    names = materialise(long_names(spark, sf_dir).distinct(), "names")
+    mapping = names.select(
+        F.col("name").alias("ProductName"), F.col("name").alias("SKUName"), F.lit("Top 58").alias("Status")
+    )
+    print("mapped names", mapping.count())
+    timed("gram contains, sent", lambda: match.contains_pairs(names, mapping))
+    timed("gram contains, shuffled", lambda: match.contains_pairs(names, mapping, limit=0))
+    filtered, match.may_be_anchored = match.may_be_anchored, lambda grams, _: grams
+    timed("gram contains, shuffled without the filter", lambda: match.contains_pairs(names, mapping, limit=0))
+    match.may_be_anchored = filtered
+
+
 def measure_clear(spark, sf_dir) -> None:
     existing = materialise(fx.obs(spark, sf_dir), "track")
     for accounts in (11, 200):
@@ -144,6 +159,14 @@ def measure_outputs(spark, sf_dir) -> None:
     timed("raw and processed, parent recomputed", lambda: two_outputs(raw))
     timed("raw and processed, parent persisted", persisted)
 
+    def one_pass():
+        table = materialise(packs.both_outputs(raw, MINIS_FLOOR), "both", by=["_output"])
+        for name in ("raw", "processed"):
+            df = table.filter(F.col("_output") == name).drop("_output")
+            track.final_view(df, MINIS_FLOOR).write.format("noop").mode("overwrite").save()
+
+    timed("raw and processed, written in one pass", one_pass)
+
     rows = materialise(track.final_view(raw, MINIS_FLOOR), "sink").repartition(8)
     plain_rows = rows.withColumnRenamed(MINIS_FLOOR, "bfp")
     timed("sink, one file", lambda: plain_rows.coalesce(1).write.parquet(fresh_path(spark, "s")))
