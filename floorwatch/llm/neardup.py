@@ -11,6 +11,7 @@ A pair at a threshold of 0.85 shares a first node in 85 % of the trees, and a br
 1 - 0.15^2. So six trees miss it with a chance of 1 in 100,000, and in nodes that branch of 1 in 10,000. Other thresholds
 have as many trees as that takes: eight at 0.80.
 
+Full sets travel to the leaves of the first two trees; to those of the others only where a leaf still holds two components.
 Within a leaf a link between members that are connected already is left out, so that a leaf of n members yields at most
 n - 1 links and components are those of all links.
 
@@ -39,6 +40,8 @@ MISSED = 1.2e-5
 POSITIONS = 16
 BRANCHES = 2
 DEPTH = 3
+#: Trees that are compared in full; the others only where members of a node are not connected yet.
+EARLY = 2
 #: Classes of a leaf, and shingles of all of them together.
 LEAF = 2048
 LEAF_SHINGLES = 4_000_000
@@ -115,10 +118,14 @@ def trees(percent: int) -> int:
     return next((n for n in range(1, POSITIONS) if (1 - percent / 100) ** n <= MISSED), POSITIONS)
 
 
-def leaves(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """leaf, doc_id: groups whose members are to be compared with each other. classes: doc_id, n_shingles, sketch."""
-    first = F.slice("sketch", 1, trees(percent))
-    rows = classes.select("doc_id", "n_shingles", F.posexplode(first).alias("tree", "value"))
+def leaves(classes: DataFrame, percent: int = PERCENT, wanted: tuple[int, ...] | None = None) -> DataFrame:
+    """leaf, doc_id: groups whose members are to be compared with each other. classes: doc_id, n_shingles, sketch.
+
+    `wanted` are numbers of trees, all by default.
+    """
+    wanted = tuple(range(trees(percent))) if wanted is None else wanted
+    first = F.array(*(F.struct(F.lit(t).alias("tree"), F.get("sketch", F.lit(t)).alias("value")) for t in wanted))
+    rows = classes.select("doc_id", "n_shingles", F.explode(first).alias("at")).select("doc_id", "n_shingles", "at.tree", "at.value")
     level = _sized(rows.select("doc_id", "n_shingles", F.xxhash64("tree", "value").alias("node")), "nodes")
     is_large = (F.col("size") > LEAF) | (F.col("weight") > LEAF_SHINGLES)
     done = level.filter(~is_large).select(F.col("node").alias("leaf"), "doc_id")
@@ -192,6 +199,18 @@ def _compared(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(links[:, 0]), "b": pa.array(links[:, 1])})
 
 
+def _links(docs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """a, b: links within the groups leaf, doc_id, by the full sets of their members."""
+    seen = bitmap_of(groups, "doc_id")
+    wanted = docs.filter(F.col("doc_id").isNotNull() & has_key(docs.sparkSession, seen, F.col("doc_id")))
+
+    def compared(table: pa.Table) -> pa.Table:
+        return _compared(table, percent)
+
+    links = groups.join(full_sets(wanted), "doc_id").groupBy("leaf").applyInArrow(compared, "a long, b long")
+    return keep(links, "links")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id) of every row."""
     mine = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -203,15 +222,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"]),
         "classes",
     )
-    groups = leaves(firsts, percent)
-    seen = bitmap_of(groups, "doc_id")
-    wanted = mine.filter(F.col("doc_id").isNotNull() & has_key(docs.sparkSession, seen, F.col("doc_id")))
-
-    def compared(table: pa.Table) -> pa.Table:
-        return _compared(table, percent)
-
-    links = groups.join(full_sets(wanted), "doc_id").groupBy("leaf").applyInArrow(compared, "a long, b long")
-    roots = components(links)
+    count = trees(percent)
+    early, late = tuple(range(EARLY)), tuple(range(EARLY, count))
+    found = _links(mine, leaves(firsts, percent, early), percent)
+    roots = components(found)
+    if late:
+        # Members that are one component already need no comparison with each other.
+        groups = leaves(firsts, percent, late).join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        rooted = keep(groups.select("leaf", "doc_id", F.coalesce("component", "doc_id").alias("root")), "rooted")
+        apart = rooted.groupBy("leaf").agg((F.min("root") != F.max("root")).alias("apart")).filter("apart").select("leaf")
+        groups = keep(rooted.join(apart, "leaf", "left_semi").select("leaf", "doc_id"), "apart")
+        roots = components(found.union(_links(mine, groups, percent)))
     known = some.select("doc_id", "n_shingles", "f1", "f2").join(classes, ["n_shingles", "f1", "f2"])
     found = known.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "class").alias("component_id")
