@@ -716,10 +716,10 @@ def _gap_report(spark, sf_dir, contains: bool) -> DataFrame:
     return gaps.gap_report(
         fx.weekly(spark, sf_dir),
         fx.mapping(spark, sf_dir),
-        fx.obs(spark, sf_dir).filter("account = 'africa'"),
+        fx.obs(spark, sf_dir),
         MINIS_FLOOR,
         *fx.GAP_WEEK,
-        shop="africa",
+        shop="any shop",
         contains=contains,
     ).withColumnsRenamed({"SKU NAME": "sku", MINIS_FLOOR: "bfp"})
 
@@ -804,7 +804,7 @@ def merge_window(spark, sf_dir):
 @query
 def full_refresh(spark, sf_dir):
     sink = _merged_store(spark, sf_dir)
-    sink.save(fx.new_batch(spark, sf_dir), "overwrite")
+    sink.save(fx.event_track(spark, sf_dir), "overwrite")
     return sink.read()
 
 
