@@ -186,6 +186,8 @@ def test_days_of_broken_files_keep_their_rows(spark, world):
     args = {**world, "store": store}
     for code, prefix in FILES.items():
         put(world["folders"][code], f"{prefix}_A_260210.parquet", [("blue soap 90g x2", 10.0)])
+    newest = os.path.join(world["folders"]["LAZADA"], "LAZADA_A_260210.parquet")
+    pq.write_table(pq.read_table(newest).drop(["status"]), newest)
     run_channel(spark, full_refresh=True, today=D(2026, 2, 11), **args)
     before = rows(store.read())
     with open(os.path.join(world["folders"]["LAZADA"], "LAZADA_A_260209.parquet"), "wb") as file:
