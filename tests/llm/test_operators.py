@@ -280,6 +280,47 @@ def test_article_of_marked_and_unmarked_pages():
     assert extraction.main_text("", tree) == "" and extraction.main_text("<<p<", tree) == ""
 
 
+PROSE = "This long paragraph has quite a number of plain words that tell a story about nothing in particular until it stops."
+SHAPES = {
+    "marked": "<article>{}</article>",
+    "page with a sidebar": '<div class="page with-sidebar"><article>{}</article><div class="sidebar">A word or two aside</div></div>',
+    "no mark, with a sidebar": '<div class="with-sidebar"><div>{}</div><div class="sidebar"><p>A word or two aside</p></div></div>',
+    "layout by its sidebar": '<div class="sidebar-layout">{}</div>',
+    "main in a box with adverts": '<div class="has-ads"><main>{}</main></div>',
+    "search results": '<div class="search-results"><article>{}</article></div>',
+    "table cell and a teaser": '<table><tr><td>{}</td></tr></table><div class="teaser-entry">read on now</div>',
+    "reader opinions": '<main>{}<div class="user-opinions"><p>I disagree with every word</p><p>%s</p></div></main>' % PROSE,
+    "comments by their heading": "<main>{}<section><h2>3 Comments</h2><p>I disagree</p><p>%s</p></section></main>" % PROSE,
+    "comments as articles": '<article>{}</article><div class="comments"><article>%s</article><article>%s</article></div>' % (PROSE, PROSE),
+    "link list": "<article>{}<ul><li><a href=x>Buy now</a></li><li><a href=y>Sign in</a></li></ul></article>",
+    "form around the page": '<form id="page"><div>{}</div></form>',
+    "form in the article": "<article>{}<form><p>Have our letter sent to you</p><input></form></article>",
+    "long notice": '<div class="cookie-notice"><p>%s</p><p>%s</p></div><div>{}</div>' % (PROSE, PROSE),
+    "header of the article": "<header><h1>Site</h1><p>its motto</p></header><article><header>{}</header></article>",
+    "named content": '<div id="content">{}</div><div id="sidebar"><h3>About</h3><p>%s</p></div>' % PROSE,
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_articles_of_many_page_shapes(shape):
+    page = SHAPES[shape].replace("{}", f"<h1>Head line</h1><p>{PROSE}</p><p>{PROSE}</p>")
+    page = f'<nav><a href=x>Home</a></nav><div class="ad">Buy this now and save money today.</div>{page}<footer>&copy; a firm</footer>'
+    tree = extraction.Tree(*extraction.labelled())
+    assert extraction.main_text(f"<html><body>{page}</body></html>", tree) == f"Head line {PROSE} {PROSE}"
+
+
+def test_awkward_pages(spark):
+    long = "<article>" + f"<p>{PROSE}</p>" * 5000 + "</article>"
+    rows = [(1, "a", None, 1), (1, "a", None, 1), (None, None, "", 2), (2, "b", long, 3), (3, "c", long[:90], 4), (4, "d", "<nav>x</nav>", 5)]
+    kind = "page_id long, url string, html string, text int"
+    found = extraction.extract(spark.createDataFrame(rows, kind)).collect()
+    texts = {r["page_id"]: (r["text"], r["n_chars"]) for r in found}
+    assert len(found) == 6 and texts[1] == texts[None] == texts[4] == ("", 0)
+    assert texts[2] == (" ".join([PROSE] * 5000), len(PROSE) * 5000 + 4999)
+    assert texts[3] == (long[12:90].strip(), len(long[12:90].strip()))
+    assert extraction.extract(spark.createDataFrame([], kind)).collect() == []
+
+
 def test_pages_give_their_articles(spark, sf_dir):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     for r in queries.op2_html_extraction(spark, sf_dir).collect():
