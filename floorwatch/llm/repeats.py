@@ -7,13 +7,15 @@ Equal windows have equal minimisers, so they meet in the shard of that minimiser
 1. Which minimisers stand in two documents or more? Each task sends their hashes, 4 bytes each, to the part of the hash
    range they are in; what comes twice sets a bit in a map of fixed size (MAP_BITS), which then goes to all tasks. Bits
    that are set by chance cost work and change nothing. Very frequent minimisers set a bit in a second map.
-2. Runs whose minimiser has its bit are packed and sent to their shard. A string that a task has already seen in a
-   smaller document is not sent: all its windows are repeats, which is known at once. So a passage that many documents
-   share is sent once per task. The windows of a very frequent minimiser, whose runs may all differ at their ends, go
-   one by one to the shard of their own hash, so that no shard gets them all.
-3. In a shard, documents that hold the same string as a smaller one lose it whole. Only the first holder of a string
+2. Which of these stand in different strings? Tasks send them once more with a hash of each string; what comes with two
+   sets a bit in a third map. The others, three quarters in text with many copies, are told by their minimiser alone.
+3. Runs whose minimiser has its bit go to its shard, those of several strings with their string, packed. What a chunk of
+   text has in a smaller document too is not sent: all its windows are repeats, which is known at once. So a passage that
+   many documents share is sent once per chunk. The windows of a very frequent minimiser, whose runs may all differ at
+   their ends, go one by one to the shard of their own hash, so that no shard gets them all, with a digest of 128 bits.
+4. In a shard, documents that hold the same string as a smaller one lose it whole. Only the first holder of a string
    needs more: `earliest` tells for each of its windows the smallest document of the shard that has it.
-4. The spans go back to their documents. Those that have none are finished where they are read; only the others move.
+5. The spans go back to their documents. Those that have none are finished where they are read; only the others move.
 
 Every task holds a chunk of text, a part of the hash range or a shard, whose numbers grow with the text.
 """
@@ -26,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +47,9 @@ SHARD_BYTES = 8 << 20
 COUNTED = 64
 FREQUENT = 1024
 
+#: Bytes of what may stand for a string, at most; every string of a window is longer.
+STANDS = 16
+
 #: Bytes of strings that are compared at once in a shard, if no minimiser has more.
 GROUP_BYTES = 512 << 10
 
@@ -98,9 +104,13 @@ def _total(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
+def _part_bits(total: int) -> int:
+    return int(np.clip(np.ceil(np.log2(max(total, 1) / PART_BYTES)), 6, 20))
+
+
 def repeated(docs: DataFrame, scheme: Scheme, total: int) -> tuple[np.ndarray, np.ndarray]:
     """The maps of minimisers in two documents or more, and of very frequent ones, by their leading bits."""
-    part_bits = int(np.clip(np.ceil(np.log2(max(total, 1) / PART_BYTES)), 6, 20))
+    part_bits = _part_bits(total)
     payload = np.uint64(64 - part_bits - 32)
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,13 +145,72 @@ def repeated(docs: DataFrame, scheme: Scheme, total: int) -> tuple[np.ndarray, n
         docs.select("text").mapInArrow(sent, "part int, hashes binary")
         .groupBy("part").applyInArrow(counted, "part int, twice binary, often binary")
     )
-    twice, often = (np.zeros(1 << (MAP_BITS - 3), dtype=np.uint8) for _ in range(2))
+    twice, often = _collected(found, ("twice", "often"), cell_bits)
+    return twice, often
+
+
+def _collected(found: DataFrame, names: tuple[str, ...], cell_bits: int) -> list[np.ndarray]:
+    """Whole maps from those of the parts."""
+    maps = [np.zeros(1 << (MAP_BITS - 3), dtype=np.uint8) for _ in names]
     step = 1 << (cell_bits - 3)
     for row in found.toLocalIterator():
         at = row["part"] * step
-        twice[at : at + step] = np.frombuffer(zlib.decompress(row["twice"]), dtype=np.uint8)
-        often[at : at + step] = np.frombuffer(zlib.decompress(row["often"]), dtype=np.uint8)
-    return twice, often
+        for bits, name in zip(maps, names, strict=True):
+            bits[at : at + step] = np.frombuffer(zlib.decompress(row[name]), dtype=np.uint8)
+    return maps
+
+
+def _passed(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return bits_set(bits, (key >> np.uint64(64 - MAP_BITS)).astype(np.int64))
+
+
+def differing(docs: DataFrame, scheme: Scheme, total: int, twice: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The map of repeated, not very frequent minimisers whose runs are not all the same string."""
+    part_bits = _part_bits(total)
+    cell_bits = MAP_BITS - part_bits
+    earlier = docs.sparkSession.sparkContext.broadcast((twice, often))
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        twice, often = earlier.value
+        for batch in chunks(batches):
+            units = scheme.units(batch.column("text"))
+            _, at, number, key = runs(units, scheme)
+            go = _passed(twice, key) & ~_passed(often, key)
+            at, number, key = at[go].tolist(), number[go].tolist(), key[go]
+            string = np.fromiter(
+                (xxhash.xxh3_64_intdigest(units.pack(a, n + scheme.window - 1)) for a, n in zip(at, number, strict=True)),
+                dtype=np.uint64, count=len(key),
+            )
+            order = np.lexsort((string, key))
+            key, string = key[order], string[order]
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = (key[1:] != key[:-1]) | (string[1:] != string[:-1])
+            key, string = key[new], string[new]
+            low = ((key >> np.uint64(32 - part_bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            parts, heads = np.unique((key >> np.uint64(64 - part_bits)).astype(np.int32), return_index=True)
+            cut = lambda x: pa.array([p.tobytes() for p in np.split(x, heads[1:])] if len(parts) else [], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(parts, pa.int32()), cut(low), cut(string)], names=["part", "hashes", "strings"]
+            )
+
+    def compared(table: pa.Table) -> pa.Table:
+        low, string = (
+            np.concatenate([np.frombuffer(b.as_py(), dtype=kind) for b in table.column(name)])
+            for name, kind in (("hashes", np.uint32), ("strings", np.uint64))
+        )
+        order = np.lexsort((string, low))
+        low, string = low[order], string[order]
+        unlike = low[1:][(low[1:] == low[:-1]) & (string[1:] != string[:-1])]
+        bits = np.zeros(1 << cell_bits, dtype=bool)
+        bits[unlike >> np.uint32(32 - cell_bits)] = True
+        packed = zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)
+        return pa.table({"part": table.column("part").slice(0, 1), "several": pa.array([packed], pa.binary())})
+
+    found = (
+        docs.select("text").mapInArrow(sent, "part int, hashes binary, strings binary")
+        .groupBy("part").applyInArrow(compared, "part int, several binary")
+    )
+    return _collected(found, ("several",), cell_bits)[0]
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -188,19 +257,18 @@ def spans(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """doc_id, spans: pairs of int32, units of the document that windows of smaller documents cover."""
     spark = docs.sparkSession
     total = _total(docs)
-    maps = spark.sparkContext.broadcast(repeated(docs, scheme, total))
+    repeats = repeated(docs, scheme, total)
+    maps = spark.sparkContext.broadcast((*repeats, differing(docs, scheme, total, *repeats)))
     shards = max(64, total // SHARD_BYTES)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        twice, often = maps.value
-        shift = np.uint64(64 - MAP_BITS)
+        twice, often, several = maps.value
         for batch in chunks(batches):
             ids = batch.column("doc_id").to_numpy()
             units = scheme.units(batch.column("text"))
             doc, at, number, key = runs(units, scheme)
-            cell = (key >> shift).astype(np.int64)
-            hot = bits_set(often, cell)
-            wanted = bits_set(twice, cell) & ~hot
+            hot = _passed(often, key)
+            wanted = _passed(twice, key) & ~hot
             each = number[hot]
             single = np.repeat(at[hot], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
             at = np.concatenate([at[wanted], single])
@@ -208,7 +276,15 @@ def spans(docs: DataFrame, scheme: Scheme) -> DataFrame:
             owner = ids[np.concatenate([doc[wanted], np.repeat(doc[hot], each)])]
             local = at - units.first[np.concatenate([doc[wanted], np.repeat(doc[hot], each)])]
             number = np.concatenate([number[wanted], np.ones(len(single), dtype=np.int64)])
-            bodies = [units.pack(a, n + scheme.window - 1) for a, n in zip(at.tolist(), number.tolist(), strict=True)]
+            # what stands for a run: its string, its minimiser if no other string has it, or the digest of a window
+            how = np.where(np.arange(len(at)) >= wanted.sum(), 2, np.where(_passed(several, key), 0, 1)).tolist()
+            bodies = []
+            for kind, a, n, k in zip(how, at.tolist(), number.tolist(), key.tolist(), strict=True):
+                if kind == 1:
+                    bodies.append(k.to_bytes(8, "little"))
+                else:
+                    body = units.pack(a, n + scheme.window - 1)
+                    bodies.append(xxhash.xxh3_128_digest(body) if kind else body)
             first: dict[bytes, int] = {}
             for body, who in zip(bodies, owner.tolist(), strict=True):
                 if first.setdefault(body, who) > who:
@@ -246,11 +322,12 @@ def spans(docs: DataFrame, scheme: Scheme) -> DataFrame:
         np.minimum.at(holder, index, doc[rows])
         copies = rows[doc[rows] > holder[index]]
         out.append((doc[copies], start[copies], start[copies] + number[copies] + scheme.window - 1))
-        # strings whose minimiser has other strings too, in groups of whole minimisers
+        # strings whose minimiser has other strings too, in groups of whole minimisers; minimisers and digests are no strings
         minimiser = np.zeros(len(which), dtype=np.int64)
         minimiser[index] = key[rows]
         strings = list(which)
-        order = np.argsort(minimiser, kind="stable")
+        spelt = np.flatnonzero(np.fromiter((len(x) > STANDS for x in strings), dtype=bool, count=len(strings)))
+        order = spelt[np.argsort(minimiser[spelt], kind="stable")]
         heads = np.flatnonzero(np.concatenate([[True], np.diff(minimiser[order]) != 0])) if len(order) else np.zeros(0, dtype=np.int64)
         group: list[int] = []
         weight = 0
