@@ -255,6 +255,19 @@ def test_lines_alike_by_brute_force_are_found(spark):
     assert len(expected) > 500 and gone <= expected and len(gone) >= 0.99 * len(expected)
 
 
+def test_lines_that_share_frequent_short_words_seldom_meet(spark):
+    rng = np.random.default_rng(5)
+    short = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 3)) for _ in range(24)]
+    lines = [[*rng.choice(short, 18, replace=False), *(f"{k:05d}x{i}" for k in range(6))] for i in range(300)]
+    # of three long words in twenty, one changed: still found
+    lines += [[*short[:17], f"first{i}", f"second{i}", f"third{i}{j}"] for i in range(40) for j in "ab"]
+    rows = spark.createDataFrame([(i, [str(x) for x in w]) for i, w in enumerate(lines)], "id long, words array<string>")
+    keys = {r["id"]: set(r["keys"]) for r in linedup.with_keys(rows).collect()}
+    counts = collections.Counter(k for i in range(300) for k in keys[i])
+    assert sum(n for n in counts.values() if n > 1) < 2 * 300
+    assert all(keys[i] & keys[i + 1] for i in range(300, 380, 2))
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 120)] + [(7, 7)]
     found = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
