@@ -268,6 +268,13 @@ def test_lines_that_share_frequent_short_words_seldom_meet(spark):
     assert all(keys[i] & keys[i + 1] for i in range(300, 380, 2))
 
 
+def test_verdicts_hold_no_texts_of_dropped_documents(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(quality, "keep", lambda df, label: held.append(df) or df)
+    quality.keep_good(spark.createDataFrame([(1, "too short")], "doc_id long, text string"))
+    assert [(r["row"], r["kept"], r["clean"]) for r in held[0].collect()] == [(None, False, None)]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 120)] + [(7, 7)]
     found = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
