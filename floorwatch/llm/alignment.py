@@ -7,7 +7,8 @@ group is resolved step by step, always on the side that ends first, and gives th
 
 1. Tasks encode and align whole texts, in chunks of about `CHUNK` bytes of text or one longer text. A chunk is one row: the results
    of its documents, their distinct linked pairs of ids, and for each distinct pair of the chunk in how many of its
-   documents it is linked. So a pair that is everywhere moves once per chunk, not once per document.
+   documents it is linked. So a pair that is everywhere moves once per chunk, not once per document. Which documents have
+   which pairs is one packed value, an eighth of the arrays: rows of several MB each would fill an executor's heap.
 2. These numbers are summed over all chunks, and the highest of every A id is found.
 3. Each chunk gets the counts of its own pairs back and values its documents.
 
@@ -22,12 +23,14 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,13 +76,19 @@ class ByteLevel:
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.plain = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        self.plain.encode_special_tokens = True
+        self.name = name
         self.tokens = [b""] * (max(ranks.values()) + 1)
         for token, number in ranks.items():
             self.tokens[number] = token
         self.table = Table(self.tokens)
 
+    @cached_property
+    def plain(self) -> Tokenizer:
+        """The asked file itself; loaded only where it is needed."""
+        found = Tokenizer.from_file(public_tokenizers.path(f"{self.name}.json"))
+        found.encode_special_tokens = True
+        return found
+
     def encode(self, text: str) -> np.ndarray:
         try:
             return np.asarray(self.fast.encode_ordinary(text), dtype=np.int64)
@@ -203,10 +212,29 @@ _COLUMNS = ("n_a", "n_b", "n_groups", "n_links")
 _CHUNK = (
     "chunk long, doc_id array<long>, "
     + "".join(f"{c} array<long>, " for c in _COLUMNS)
-    + "groups_sha256 array<string>, bounds array<long>, at array<int>, times array<long>, pairs array<long>, docs array<long>"
+    + "groups_sha256 array<string>, links binary, pairs array<long>, docs array<long>"
 )
 
 
+def _packed(bounds: np.ndarray, at: np.ndarray, times: np.ndarray) -> bytes:
+    """Three arrays in one value; places ascend within a document and most times are 1, so it is a small one."""
+    steps = np.diff(at, prepend=0).astype(np.int32)
+    small = np.minimum(times, 255).astype(np.uint8)
+    sizes = np.asarray([len(bounds), len(at), (small == 255).sum()], dtype=np.int64)
+    parts = (sizes, bounds.astype(np.int64), times[small == 255].astype(np.int64), steps, small)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in parts))
+
+
+def _unpacked(links: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(links)
+    n, m, wide = np.frombuffer(data, dtype=np.int64, count=3).tolist()
+    longs = np.frombuffer(data, dtype=np.int64, count=n + wide, offset=24)
+    steps = np.frombuffer(data, dtype=np.int32, count=m, offset=24 + 8 * (n + wide))
+    times = np.frombuffer(data, dtype=np.uint8, count=m, offset=24 + 8 * (n + wide) + 4 * m).astype(np.int64)
+    times[times == 255] = longs[n:]
+    return longs[:n], np.cumsum(steps, dtype=np.int64), times
+
+
 def _nested(parts: list) -> pa.ListArray:
     """One row that holds all of an array."""
     values = parts if isinstance(parts, pa.Array) else pa.array(parts)
@@ -216,7 +244,7 @@ def _nested(parts: list) -> pa.ListArray:
 def align(docs: DataFrame, a_name: str = A_NAME, b_name: str = B_NAME) -> DataFrame:
     """One row per chunk: its documents, their distinct pairs as places in the chunk's own list, documents of each pair.
 
-    Pairs of document d are at[bounds[d]:bounds[d + 1]], with as many links as `times` says.
+    `links` holds bounds, at and times: pairs of document d are at[bounds[d]:bounds[d + 1]], with as many links as `times` says.
     """
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,10 +272,10 @@ def align(docs: DataFrame, a_name: str = A_NAME, b_name: str = B_NAME) -> DataFr
             own, at, held = np.unique(np.concatenate(pairs), return_inverse=True, return_counts=True)
             counts = np.asarray(rows, dtype=np.int64)
             columns = [batch.column("doc_id"), *(np.ascontiguousarray(counts[:, i]) for i in range(4)), pa.array(hashes, pa.string())]
-            columns += [np.cumsum([0, *map(len, pairs)]), at.astype(np.int32), np.concatenate(times), own, held]
+            links = _packed(np.cumsum([0, *map(len, pairs)]), at, np.concatenate(times))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number]), *map(_nested, columns)],
-                names=["chunk", "doc_id", *_COLUMNS, "groups_sha256", "bounds", "at", "times", "pairs", "docs"],
+                [pa.array([number]), *map(_nested, columns), pa.array([links], pa.binary()), _nested(own), _nested(held)],
+                names=["chunk", "doc_id", *_COLUMNS, "groups_sha256", "links", "pairs", "docs"],
             )
             number += 1
 
@@ -285,12 +313,12 @@ _VALUED = "doc_id long, " + "".join(f"{c} long, " for c in _COLUMNS) + "n_best l
 
 def _valued(chunk: pa.Table, counts: pa.Table) -> pa.Table:
     """Documents of one chunk with the counts of their links."""
-    row = {c: chunk.column(c).combine_chunks().flatten() for c in chunk.column_names if c != "chunk"}
+    row = {c: chunk.column(c).combine_chunks().flatten() for c in ("doc_id", *_COLUMNS, "groups_sha256")}
     place = counts.column("place").to_numpy()
-    at, times, bounds = (row[c].to_numpy() for c in ("at", "times", "bounds"))
+    bounds, at, times = _unpacked(chunk.column("links")[0].as_py())
 
     def summed(name: str) -> pa.Array:
-        values = np.zeros(len(row["pairs"]), dtype=np.int64)
+        values = np.zeros(len(place), dtype=np.int64)  # every pair of a chunk has its answer
         values[place] = counts.column(name).to_numpy()
         return pa.array(np.diff(np.concatenate([[0], np.cumsum(values[at] * times)])[bounds]))
 
@@ -302,7 +330,7 @@ def valued(aligned: DataFrame) -> DataFrame:
     """Per document its numbers, links of highest count and the sum of counts."""
     asked = aligned.select("chunk", F.posexplode("pairs").alias("place", "pair"))
     answers = asked.join(pair_counts(aligned), "pair").select(F.col("chunk").alias("of"), "place", "total", "best")
-    rows = aligned.drop("docs")
+    rows = aligned.drop("pairs", "docs")
     return rows.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(_valued, _VALUED)
 
 
