@@ -73,8 +73,8 @@ class Scheme:
     units: Callable[[pa.Array], Units]
     #: strings, their owners -> for each string, the least owner of each of its windows
     earliest: Callable[[list[bytes], np.ndarray], list[np.ndarray]]
-    #: text, mask of removed units -> what is left
-    rest: Callable[[bytes], tuple[int, Callable[[np.ndarray], bytes]]]
+    #: text -> its units, and from spans of units what they hold
+    rest: Callable[[bytes], tuple[int, Callable[[list[list[int]]], bytes]]]
 
 
 def least(values: np.ndarray, width: int) -> np.ndarray:
@@ -223,13 +223,20 @@ def merged(start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def _by_doc(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Documents and the merged spans of each, all in one pass: each document has a stretch of the number line for itself."""
     if not len(doc):
         return [], []
     order = np.lexsort((start, doc))
     doc, start, end = doc[order], start[order], end[order]
-    heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-    tails = np.append(heads[1:], len(doc))
-    return doc[heads].tolist(), [merged(start[a:b], end[a:b]).tobytes() for a, b in zip(heads, tails, strict=True)]
+    new = np.concatenate([[True], doc[1:] != doc[:-1]])
+    base = (np.cumsum(new) - 1) * (int(end.max()) + 1)
+    reach = np.maximum.accumulate(end + base)
+    head = np.flatnonzero(new | np.concatenate([[True], (start + base)[1:] > reach[:-1]]))
+    tail = np.append(head[1:], len(doc)) - 1
+    blob = np.stack([start[head], reach[tail] - base[tail]], axis=1).astype(np.int32).tobytes()
+    heads = np.flatnonzero(new[head])
+    cuts = [*(8 * heads).tolist(), len(blob)]
+    return doc[head[heads]].tolist(), [blob[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _bale(columns: list[np.ndarray], strings: list[bytes]) -> bytes:
@@ -317,7 +324,7 @@ def spans(docs: DataFrame, scheme: Scheme) -> DataFrame:
             out.append((np.full(len(known), doc[i]), known[:, 0], known[:, 1]))
         rows = np.flatnonzero(start >= 0)
         which: dict[bytes, int] = {}
-        index = np.fromiter((which.setdefault(body[i], len(which)) for i in rows), dtype=np.int64, count=len(rows))
+        index = np.fromiter((which.setdefault(body[i], len(which)) for i in rows.tolist()), dtype=np.int64, count=len(rows))
         holder = np.full(len(which), np.iinfo(np.int64).max)
         np.minimum.at(holder, index, doc[rows])
         copies = rows[doc[rows] > holder[index]]
@@ -326,33 +333,42 @@ def spans(docs: DataFrame, scheme: Scheme) -> DataFrame:
         minimiser = np.zeros(len(which), dtype=np.int64)
         minimiser[index] = key[rows]
         strings = list(which)
-        spelt = np.flatnonzero(np.fromiter((len(x) > STANDS for x in strings), dtype=bool, count=len(strings)))
+        size = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
+        spelt = np.flatnonzero(size > STANDS)
         order = spelt[np.argsort(minimiser[spelt], kind="stable")]
         heads = np.flatnonzero(np.concatenate([[True], np.diff(minimiser[order]) != 0])) if len(order) else np.zeros(0, dtype=np.int64)
+        tails = np.append(heads[1:], len(order)).astype(np.int64)[: len(heads)]
         group: list[int] = []
         weight = 0
-        windows: dict[int, np.ndarray] = {}
+        string, at = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]  # windows that a smaller document has
 
         def solve() -> None:
-            for i, who in zip(group, scheme.earliest([strings[i] for i in group], holder[group]), strict=True):
-                repeated_at = np.flatnonzero(who < holder[i])
-                if len(repeated_at):
-                    windows[i] = repeated_at
-
-        tails = np.append(heads[1:], len(order)).astype(np.int64)[: len(heads)]
-        for a, b in zip(heads, tails, strict=True):
-            if b - a > 1:
-                group += order[a:b].tolist()
-                weight += sum(len(strings[i]) for i in order[a:b])
-                if weight > GROUP_BYTES:
-                    solve()
-                    group, weight = [], 0
+            owners = scheme.earliest([strings[i] for i in group], holder[group])
+            many = np.fromiter(map(len, owners), dtype=np.int64, count=len(owners))
+            own = np.repeat(np.asarray(group), many)
+            hit = np.flatnonzero(np.concatenate(owners) < holder[own])
+            string.append(own[hit])
+            at.append(hit - np.repeat(np.cumsum(many) - many, many)[hit])
+
+        several = np.flatnonzero(tails - heads > 1)
+        before = np.concatenate([[0], np.cumsum(size[order])])
+        for a, b in zip(heads[several].tolist(), tails[several].tolist(), strict=True):
+            group += order[a:b].tolist()
+            weight += int(before[b] - before[a])
+            if weight > GROUP_BYTES:
+                solve()
+                group, weight = [], 0
         if group:
             solve()
-        for row, i in zip(rows, index, strict=True):
-            if i in windows and doc[row] == holder[i]:
-                begin = start[row] + windows[i]
-                out.append((np.full(len(begin), doc[row]), begin, begin + scheme.window))
+        string, at = np.concatenate(string), np.concatenate(at)
+        at = at[np.argsort(string, kind="stable")]
+        times = np.bincount(string, minlength=len(which))
+        first = np.cumsum(times) - times
+        mine = np.flatnonzero((doc[rows] == holder[index]) & (times[index] > 0))
+        each = times[index[mine]]
+        nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        begin = np.repeat(start[rows[mine]], each) + at[np.repeat(first[index[mine]], each) + nth]
+        out.append((np.repeat(doc[rows[mine]], each), begin, begin + scheme.window))
         found = [np.concatenate([part[k] for part in out]).astype(np.int64) for k in range(3)]
         ids, blobs = _by_doc(*found)
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "spans": pa.array(blobs, pa.binary())})
@@ -361,6 +377,14 @@ def spans(docs: DataFrame, scheme: Scheme) -> DataFrame:
     return rows.groupBy("shard").applyInArrow(resolved, "doc_id long, spans binary")
 
 
+def _united(parts: list[bytes], size: int) -> list[list[int]]:
+    """The spans of all parts, within the document, united where they touch."""
+    pairs = np.minimum(np.frombuffer(b"".join(parts), dtype=np.int32).reshape(-1, 2), size)
+    pairs = pairs[pairs[:, 0] < pairs[:, 1]]
+    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+    return merged(pairs[:, 0], pairs[:, 1]).tolist()
+
+
 def remove(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """doc_id, n_units, n_removed, n_spans, rest of every row; docs has doc_id and text."""
     spark = docs.sparkSession
@@ -370,16 +394,12 @@ def remove(docs: DataFrame, scheme: Scheme) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, parts in zip(batch.column("text"), batch.column("parts"), strict=True):
-                size, without = scheme.rest((text.as_py() or "").encode())
-                edge = np.zeros(size + 1, dtype=np.int32)
-                for part in parts.as_py() or ():
-                    pairs = np.minimum(np.frombuffer(part, dtype=np.int32).reshape(-1, 2), size)
-                    np.add.at(edge, pairs[:, 0], 1)
-                    np.add.at(edge, pairs[:, 1], -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                heads = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                rows.append((size, int(gone.sum()), heads, without(gone)))
+            for text, parts in zip(batch.column("text").cast(pa.large_binary()), batch.column("parts"), strict=True):
+                size, held = scheme.rest(text.as_py() or b"")
+                gone = _united(parts.as_py(), size) if parts.is_valid else []
+                edges = [0, *(x for span in gone for x in span), size]
+                kept = [[a, b] for a, b in zip(edges[::2], edges[1::2], strict=True) if a < b]
+                rows.append((size, sum(b - a for a, b in gone), len(gone), held(kept)))
             columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())],

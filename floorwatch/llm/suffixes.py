@@ -44,6 +44,8 @@ def _induce(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, sizes: np.nd
     """The order of all suffixes from that of the leftmost smaller ones."""
     ends = np.cumsum(sizes)
     starts = ends - sizes
+    if len(sizes) <= 1 << 16:
+        text = text.astype(np.uint16)  # numbers of 16 bits are sorted by counting
     order = np.full(len(text), -1, dtype=np.int64)
     fill = starts.copy()
     letters = np.flatnonzero(sizes)
@@ -100,7 +102,7 @@ def _doubled(text: np.ndarray, depth: int) -> np.ndarray:
     while True:
         key = rank * (rank.max() + 2)
         key[:-done or None] += (rank[done:] + 1) if done < len(rank) else 0
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal ones get one rank, in any order
         new = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
         rank = np.empty_like(new)
         rank[order] = new
@@ -203,8 +205,7 @@ def _units(texts: pa.Array) -> Units:
 
 
 def _rest(text: bytes):
-    data = np.frombuffer(text, dtype=np.uint8)
-    return len(data), lambda gone: data[~gone].tobytes()
+    return len(text), lambda kept: b"".join([text[a:b] for a, b in kept])
 
 
 SCHEME = Scheme(WINDOW, GRAM, _units, earliest, _rest)

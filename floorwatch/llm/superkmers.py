@@ -53,7 +53,7 @@ def earliest(strings: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
 
 def _rest(text: bytes):
     words = text.split()
-    return len(words), lambda gone: b" ".join(w for w, g in zip(words, gone, strict=True) if not g)
+    return len(words), lambda kept: b" ".join([w for a, b in kept for w in words[a:b]])
 
 
 SCHEME = Scheme(WINDOW, GRAM, _units, earliest, _rest)

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from floorwatch.llm import alignment
+from floorwatch.llm import alignment, repeats, suffixes, superkmers
 
 
 def test_links_of_a_chunk_are_packed_and_come_back():
@@ -32,3 +32,28 @@ def test_the_asked_file_is_loaded_where_it_is_needed_only():
     ids = left.encode(" plain words").tolist()
     assert "plain" not in vars(left)
     assert left.plain.encode(" plain words", add_special_tokens=False).ids == ids
+
+
+def test_spans_of_many_documents_are_merged_in_one_pass(monkeypatch):
+    rng = np.random.default_rng(5)
+    doc, start = rng.integers(-5, 300, 4000), rng.integers(0, 500, 4000)
+    end = start + rng.integers(1, 9, 4000)
+    monkeypatch.setattr(repeats, "merged", None)  # no call per document
+    docs, blobs = repeats._by_doc(doc, start, end)
+    found = {d: np.frombuffer(b, dtype=np.int32).reshape(-1, 2).tolist() for d, b in zip(docs, blobs, strict=True)}
+    assert docs == sorted(set(doc.tolist()))
+    for d, spans in found.items():
+        covered = sorted({x for a, b in zip(start[doc == d].tolist(), end[doc == d].tolist(), strict=True) for x in range(a, b)})
+        assert [x for a, b in spans for x in range(a, b)] == covered
+        assert all(b < c for (_, b), (c, _) in zip(spans[:-1], spans[1:], strict=True))
+    assert repeats._by_doc(*(np.zeros(0, dtype=np.int64),) * 3) == ([], [])
+
+
+def test_spans_beyond_a_document_and_spans_that_touch():
+    parts = [np.asarray([[0, 3], [8, 30]], dtype=np.int32).tobytes(), np.asarray([[3, 5], [40, 50]], dtype=np.int32).tobytes()]
+    assert repeats._united(parts, 20) == [[0, 5], [8, 20]]
+    assert repeats._united([], 20) == []
+    size, held = suffixes.SCHEME.rest("äbc d".encode())
+    assert (size, held([[0, 1], [3, 6]])) == (6, "äbc d".encode()[:1] + b"c d")
+    size, held = superkmers.SCHEME.rest(b" a  b c\nd ")
+    assert (size, held([[0, 1], [2, 4]])) == (4, b"a c d")
