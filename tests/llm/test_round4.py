@@ -1,8 +1,13 @@
 """What rows hold and what is worked out per row, where that decides whether large tables fit."""
 
+import os
+import random
+
 import numpy as np
+from pyspark.sql import functions as F
 
-from floorwatch.llm import alignment, repeats, suffixes, superkmers
+from floorwatch.llm import alignment, linedup, repeats, suffixes, superkmers
+from floorwatch.llm.tables import discard, keep
 
 
 def test_links_of_a_chunk_are_packed_and_come_back():
@@ -57,3 +62,59 @@ def test_spans_beyond_a_document_and_spans_that_touch():
     assert (size, held([[0, 1], [3, 6]])) == (6, "äbc d".encode()[:1] + b"c d")
     size, held = superkmers.SCHEME.rest(b" a  b c\nd ")
     assert (size, held([[0, 1], [2, 4]])) == (4, b"a c d")
+
+
+def test_counts_of_letters_leave_every_alike_pair(spark):
+    rng = random.Random(6)
+    words = ["the", "river", "ließ", "日本", "stone", "a", "canal", "élan", "mud", "harbour"]
+    rows = []
+    for i in range(600):
+        a = " ".join(rng.choices(words, k=rng.randint(3, 40)))
+        b = list(a)
+        for _ in range(rng.randint(0, max(1, len(a) // 10))):
+            at = rng.randrange(len(b))
+            b[at:at + 1] = rng.choice([[], [rng.choice("e ßx本")], [b[at], rng.choice("ta 日")]])
+        other = " ".join(rng.choices(words, k=rng.randint(3, 40)))
+        rows += [(2 * i, a, "".join(b)), (2 * i + 1, a, other)]
+    pairs = spark.createDataFrame(rows, "id long, at string, bt string")
+    sides = [linedup._counted(pairs.select("id", F.col(f"{s}t").alias("text")), s) for s in "ab"]
+    allowed = F.floor(F.greatest(F.char_length("at"), F.char_length("bt")) * linedup.EDIT_PERCENT / 100)
+    found = (
+        pairs.join(sides[0], pairs.id == F.col("a")).join(sides[1], F.col("a") == F.col("b"))
+        .select((F.levenshtein("at", "bt") <= allowed).alias("alike"), linedup._may_be_alike().alias("maybe")).collect()
+    )
+    assert len(found) == 1200
+    assert all(r["maybe"] for r in found if r["alike"]) and sum(r["alike"] for r in found) > 500
+    assert sum(r["maybe"] for r in found if not r["alike"]) < 200
+
+
+def test_lines_that_share_words_only_are_not_paired_up(spark, monkeypatch):
+    rng = random.Random(7)
+    common = "zzcommon zzshared zzequal"
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    lines = [common + " " + " ".join(rng.choice(letters) * rng.randint(5, 9) for _ in range(14)) for _ in range(60)]
+    lines += [lines[0] + " x", lines[1] + " x"]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    tested = []
+    linked = linedup._linked
+
+    def counted(pairs, texts):
+        tested.append(pairs.count())
+        return linked(pairs, texts)
+
+    monkeypatch.setattr(linedup, "_linked", counted)
+    monkeypatch.setattr(linedup, "TAKEN", 1)
+    gone = linedup.dedup_lines(docs).filter("n_removed = 1")
+    assert sorted(r["doc_id"] for r in gone.collect()) == [60, 61]
+    assert tested[1] < 100
+
+
+def test_only_kept_tables_are_discarded(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "given"))
+    given = spark.read.parquet(str(tmp_path / "given"))
+    kept = keep(given, "some table")
+    folder = kept.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert os.path.isdir(folder.replace("%20", " "))
+    discard(kept)
+    discard(given)
+    assert not os.path.isdir(folder.replace("%20", " ")) and given.count() == 5
